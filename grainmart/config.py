@@ -38,6 +38,7 @@ class Settings:
     patience: int = PATIENCE_ROUNDS
     max_rounds: int = MAX_ROUNDS
     importance_sample: int = IMPORTANCE_SAMPLE
+    parallel_fits: int = 4
 
     @property
     def non_features(self) -> tuple[str, str, str]:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainmart.functions.sqltext import ident, literal
 from grainmart.operators.ordered import exact_quantiles
 
 FEATURES_COL = "__features"
@@ -95,12 +96,8 @@ def class_weight(df: DataFrame, label: str, balanced: bool) -> Column:
     return F.when(F.col(label) == 1, F.lit(up)).otherwise(F.lit(down))
 
 
-def _number(value: float) -> str:
-    return f"({float(value)!r}D)"
-
-
 def _as_double(column: str) -> str:
-    return f"nanvl(CAST(`{column}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+    return f"nanvl(CAST({ident(column)} AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
 def _derive(expressions: Mapping[str, str]) -> SQLTransformer:
@@ -108,11 +105,13 @@ def _derive(expressions: Mapping[str, str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")
 
 
-def _indexer(levels: Mapping[str, Sequence[str]], inputs: Sequence[str], outputs: Sequence[str]):
+def _indexers(levels: Mapping[str, Sequence[str]], suffix: str = "") -> list[StringIndexerModel]:
     """Alphabetical level numbers; null and unseen levels share one extra number."""
-    return StringIndexerModel.from_arrays_of_labels(
-        [list(v) for v in levels.values()], inputCols=list(inputs), outputCols=list(outputs),
-        handleInvalid="keep")
+    return [
+        StringIndexerModel.from_labels(
+            list(known), inputCol=f"{c}{suffix}", outputCol=f"{c}__level", handleInvalid="keep")
+        for c, known in levels.items()
+    ]
 
 
 @dataclass(frozen=True)
@@ -147,8 +146,8 @@ def numeric_fill(df: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[float
 def scaled(column: str, fill: tuple[float, float, float]) -> str:
     """SQL of one imputed and standardised column."""
     median, mean, deviation = fill
-    return (f"(coalesce({_as_double(column)}, {_number(median)}) - {_number(mean)})"
-            f" / {_number(deviation)}")
+    return (f"(coalesce({_as_double(column)}, {literal(median)}) - {literal(mean)})"
+            f" / {literal(deviation)}")
 
 
 def fit_linear_preparation(
@@ -165,10 +164,9 @@ def fit_linear_preparation(
     levels = {c: v for c, v in capture_levels(pool, categorical).items() if v}
     if levels:
         modes = {r["feature"]: r["level"] for r in most_frequent(pool, list(levels)).collect()}
-        text = {c: modes[c].replace("\\", "\\\\").replace("'", "\\'") for c in levels}
-        stages.append(_derive({f"{c}__filled": f"coalesce(`{c}`, '{text[c]}')" for c in levels}))
-        stages.append(_indexer(levels, [f"{c}__filled" for c in levels],
-                               [f"{c}__level" for c in levels]))
+        stages.append(_derive({
+            f"{c}__filled": f"coalesce({ident(c)}, {literal(modes[c])})" for c in levels}))
+        stages += _indexers(levels, "__filled")
         encoder = OneHotEncoder(
             inputCols=[f"{c}__level" for c in levels], outputCols=[f"{c}__hot" for c in levels],
             dropLast=True)
@@ -192,7 +190,7 @@ def fit_tree_preparation(
     for i, c in enumerate(numeric):
         low = stats[f"lo{i}"] if stats[f"lo{i}"] is not None else 0.0
         below = low - 1.0 - abs(low)
-        derived[f"{c}__value"] = f"coalesce({_as_double(c)}, {_number(below)})"
+        derived[f"{c}__value"] = f"coalesce({_as_double(c)}, {literal(below)})"
         slots.append(f"{c}__value")
         sources.append(c)
         if stats[f"na{i}"]:
@@ -202,7 +200,7 @@ def fit_tree_preparation(
     stages = [_derive(derived)] if derived else []
     levels = {c: v for c, v in levels.items() if v}
     if levels:
-        stages.append(_indexer(levels, list(levels), [f"{c}__level" for c in levels]))
+        stages += _indexers(levels)
         slots += [f"{c}__level" for c in levels]
         sources += list(levels)
     stages.append(VectorAssembler(inputCols=slots, outputCol=FEATURES_COL))

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from grainmart.functions.sqltext import ident, literal, struct
+
 QUANTILE_ACCURACY = 10_000
 MAX_SLICES = 1024
 
@@ -71,58 +73,61 @@ def exact_quantiles(
     """
     margin = 3.0 / accuracy
     asked = [p for q in probabilities for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    first = values.agg(*[
-        agg for i in range(len(columns)) for agg in (
-            F.count(f"c{i}").alias(f"n{i}"),
-            F.percentile_approx(f"c{i}", asked, accuracy).alias(f"a{i}"),
-        )
+    listed = ", ".join(literal(p) for p in asked)
+    values = df.selectExpr(*[
+        f"nanvl(CAST({ident(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS c{i}"
+        for i, c in enumerate(columns)])
+    first = values.selectExpr(*[
+        sql for i in range(len(columns)) for sql in (
+            f"count(c{i}) AS n{i}",
+            f"percentile_approx(c{i}, array({listed}), {accuracy}) AS a{i}")
     ]).first()
 
-    wanted = []  # (column index, probability index, bracket low, bracket high, rank as a float)
+    wanted = []  # (column index, probability index, bracket, rank as a float)
     for i in range(len(columns)):
         n = first[f"n{i}"]
         for j, q in enumerate(probabilities):
             if n == 0:
                 continue
-            low, high = first[f"a{i}"][2 * j], first[f"a{i}"][2 * j + 1]
-            if n <= 2 * accuracy:  # the error bound is below one rank only for larger inputs
-                low, high = -math.inf, math.inf
-            wanted.append((i, j, low, high, q * (n - 1)))
+            bracket = (first[f"a{i}"][2 * j], first[f"a{i}"][2 * j + 1])
+            # The error bound is below one rank only for larger inputs: take all of a small one.
+            wanted.append((i, j, bracket if n > 2 * accuracy else None, q * (n - 1)))
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     if not wanted:
         return result
 
-    below = values.agg(*[
-        F.count_if(F.col(f"c{i}") < F.lit(low)).alias(f"b{w}")
-        for w, (i, _, low, _, _) in enumerate(wanted)
-    ]).first()
-    candidates = F.array(*[
-        F.when(F.col(f"c{i}").between(F.lit(low), F.lit(high)),
-               F.struct(F.lit(w).alias("w"), F.col(f"c{i}").alias("v")))
-        for w, (i, _, low, high, _) in enumerate(wanted)
-    ])
+    bracketed = [(w, i, b) for w, (i, _, b, _) in enumerate(wanted) if b]
+    below = dict.fromkeys(range(len(wanted)), 0)
+    if bracketed:
+        counts = values.selectExpr(*[
+            f"count_if(c{i} < {literal(low)}) AS b{w}" for w, i, (low, _) in bracketed]).first()
+        below.update({w: counts[f"b{w}"] for w, _, _ in bracketed})
+    candidates = ", ".join(
+        f"CASE WHEN c{i} " + (f"BETWEEN {literal(b[0])} AND {literal(b[1])}" if b else "IS NOT NULL")
+        + f" THEN {struct({'w': str(w), 'v': f'c{i}'})} END"
+        for w, (i, _, b, _) in enumerate(wanted))
     counted = (
-        values.select(F.explode(F.array_compact(candidates)).alias("e")).select("e.*")
+        values.selectExpr(f"inline(array_compact(array({candidates})))")
         .groupBy("w", "v").agg(F.count(F.lit(1)).alias("n"))
     )
     upto = Window.partitionBy("w").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    nth = F.col("w") + 1
-    floor = F.element_at(F.array(*[
-        F.lit(math.floor(rank) - below[f"b{w}"]) for w, (*_, rank) in enumerate(wanted)]), nth)
-    ceil = F.element_at(F.array(*[
-        F.lit(math.ceil(rank) - below[f"b{w}"]) for w, (*_, rank) in enumerate(wanted)]), nth)
-    ranked = counted.withColumn("last", F.sum("n").over(upto))
-    begin = F.col("last") - F.col("n")
-    at_floor = (begin <= floor) & (floor < F.col("last"))
-    at_ceil = (begin <= ceil) & (ceil < F.col("last"))
-    picked = ranked.filter(at_floor | at_ceil).groupBy("w").agg(
-        F.max(F.when(at_floor, F.col("v"))).alias("low"), F.max(F.when(at_ceil, F.col("v"))).alias("high")
+
+    def rank_in_bracket(rounding) -> str:
+        ranks = ", ".join(
+            f"{rounding(rank) - below[w]}L" for w, (*_, rank) in enumerate(wanted))
+        return f"element_at(array({ranks}), w + 1)"
+
+    picked = counted.withColumn("last", F.sum("n").over(upto)).selectExpr(
+        "w", "v", f"{rank_in_bracket(math.floor)} BETWEEN last - n AND last - 1 AS at_floor",
+        f"{rank_in_bracket(math.ceil)} BETWEEN last - n AND last - 1 AS at_ceil",
+    ).filter("at_floor OR at_ceil").groupBy("w").agg(
+        F.expr("max(CASE WHEN at_floor THEN v END)").alias("low"),
+        F.expr("max(CASE WHEN at_ceil THEN v END)").alias("high"),
     ).collect()
     if len(picked) != len(wanted) or any(r["low"] is None or r["high"] is None for r in picked):
         raise ArithmeticError("a quantile lies outside its bracket")
     for row in picked:
-        i, j, _, _, rank = wanted[row["w"]]
+        i, j, _, rank = wanted[row["w"]]
         share = rank - math.floor(rank)
         result[columns[i]][j] = row["low"] + (row["high"] - row["low"]) * share
     return result

@@ -4,54 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _long(wide: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """One aggregated row with fields v0, v1, ... as (feature, value) rows."""
-    entries = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"v{i}").alias(name))
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+from grainmart.functions.sqltext import ident, literal, rows, struct
 
 
 def missing_rates(df: DataFrame, columns: Sequence[str], top_n: int = 15) -> DataFrame:
     """Share of nulls per column, highest first; one pass over the frame."""
-    wide = df.agg(*[
-        F.avg(F.col(c).isNull().cast("double")).alias(f"v{i}") for i, c in enumerate(columns)
-    ])
-    return (
-        _long(wide, columns, "missing_rate")
-        .orderBy(F.desc("missing_rate"), "feature").limit(top_n)
-    )
-
-
-def _pearson(x: Column, y: Column) -> Column:
-    """Pearson correlation over rows with both values, null for a constant side.
-
-    Built from mergeable central moments, so one pass is numerically stable.
-    """
-    both_x = F.when(y.isNotNull(), x)
-    both_y = F.when(x.isNotNull(), y)
-    spread = F.stddev_pop(both_x) * F.stddev_pop(both_y)
-    return F.try_divide(F.covar_pop(x, y), spread)
+    counted = df.selectExpr(
+        "count(1) AS n", *[f"count({ident(c)}) AS v{i}" for i, c in enumerate(columns)])
+    rates = counted.selectExpr(rows(
+        struct({"feature": literal(c), "missing_rate": f"try_divide(CAST(n - v{i} AS DOUBLE), n)"})
+        for i, c in enumerate(columns)))
+    return rates.orderBy(F.desc("missing_rate"), "feature").limit(top_n)
 
 
 def label_correlations(
     df: DataFrame, columns: Sequence[str], label: str, top_n: int = 15
 ) -> DataFrame:
-    """Correlation of each numeric column with the label, largest magnitude first, sign kept.
+    """Pearson correlation of each numeric column with the label over rows that have both,
+    largest magnitude first, sign kept. Constant columns have none and are left out.
 
-    Constant columns have none and are left out.
+    Each row fans out to (feature, value, label) and is merged again into one set of central
+    moments per feature before anything is shuffled; central moments are stable in one pass.
     """
-    y = F.col(label).cast("double")
-    wide = df.agg(*[
-        _pearson(F.col(c).cast("double"), y).alias(f"v{i}") for i, c in enumerate(columns)
-    ])
+    values = df.filter(F.col(label).isNotNull()).selectExpr(
+        f"CAST({ident(label)} AS DOUBLE) AS y",
+        rows(struct({"feature": literal(c), "x": f"CAST({ident(c)} AS DOUBLE)"}) for c in columns))
     return (
-        _long(wide, columns, "correlation").filter(F.col("correlation").isNotNull())
+        values.filter("x IS NOT NULL").groupBy("feature")
+        .agg(F.expr("try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y))")
+             .alias("correlation"))
+        .filter("correlation IS NOT NULL")
         .orderBy(F.abs("correlation").desc(), "feature").limit(top_n)
     )
 

@@ -10,10 +10,11 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainmart.functions.sqltext import ident, literal, rows, struct
 from grainmart.operators.rollup import union_all
 
 REPORT_SCHEMA = "`rule` string, `column` string, failures bigint, sample string"
@@ -36,66 +37,57 @@ class RowRule:
     violation: str
     where: str | None = None
 
-    def broken(self) -> Column:
-        condition = F.coalesce(F.expr(self.violation), F.lit(False))
-        return condition & F.coalesce(F.expr(self.where), F.lit(False)) if self.where else condition
+    @property
+    def broken(self) -> str:
+        """SQL that is true for an offending row in scope and never null."""
+        scope = f" AND coalesce({self.where}, false)" if self.where else ""
+        return f"(coalesce({self.violation}, false){scope})"
 
 
 def not_null(column: str, where: str | None = None) -> RowRule:
-    return RowRule("not_null", column, f"`{column}` IS NULL", where)
+    return RowRule("not_null", column, f"{ident(column)} IS NULL", where)
 
 
 def at_least(column: str, low: float) -> RowRule:
     """A null passes; combine with ``not_null`` to forbid it."""
-    return RowRule("at_least", column, f"`{column}` < {low}")
+    return RowRule("at_least", column, f"{ident(column)} < {low}")
 
 
 def accepted_values(column: str, values: Sequence, where: str | None = None) -> RowRule:
     """A null passes."""
-    listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-    return RowRule("accepted_values", column, f"`{column}` NOT IN ({listed})", where)
+    listed = ", ".join(literal(v) for v in values)
+    return RowRule("accepted_values", column, f"{ident(column)} NOT IN ({listed})", where)
 
 
 def label_matches_split(label: str, split_flag: str) -> RowRule:
     """Training rows carry a label and scoring rows carry none."""
     return RowRule(
-        "label_matches_split", label, f"(`{split_flag}` AND `{label}` IS NULL) "
-        f"OR (NOT `{split_flag}` AND `{label}` IS NOT NULL)"
-    )
-
-
-def _report_row(df: DataFrame, *entries: Column) -> DataFrame:
-    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+        "label_matches_split", label, f"{ident(split_flag)} = ({ident(label)} IS NULL)")
 
 
-def _entry(rule: str, column: str, failures: Column, sample: Column) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule"), F.lit(column).alias("column"),
-        failures.cast("long").alias("failures"), sample.cast("string").alias("sample"),
-    )
+def _entry(rule: str, column: str, failures: str, sample: str) -> str:
+    return struct({
+        "rule": literal(rule), "column": literal(column),
+        "failures": f"CAST({failures} AS BIGINT)", "sample": f"CAST({sample} AS STRING)"})
 
 
 def check_rows(df: DataFrame, rules: Sequence[RowRule], key: str) -> DataFrame:
     """Per rule the number of offending rows and the smallest offending key: one pass."""
     aggregates = []
     for i, rule in enumerate(rules):
-        aggregates.append(F.count_if(rule.broken()).alias(f"n{i}"))
-        aggregates.append(F.min(F.when(rule.broken(), F.col(key))).alias(f"k{i}"))
-    return _report_row(
-        df.agg(*aggregates),
-        *[_entry(r.rule, r.column, F.col(f"n{i}"), F.col(f"k{i}")) for i, r in enumerate(rules)],
-    )
+        aggregates.append(f"count_if({rule.broken}) AS n{i}")
+        aggregates.append(f"min(CASE WHEN {rule.broken} THEN {ident(key)} END) AS k{i}")
+    return df.selectExpr(*aggregates).selectExpr(rows(
+        _entry(r.rule, r.column, f"n{i}", f"k{i}") for i, r in enumerate(rules)))
 
 
 def violating_rows(df: DataFrame, rules: Sequence[RowRule], key: str) -> DataFrame:
     """Every offending (key, rule, column, value) as a row; no shuffle."""
-    found = F.array(*[
-        F.when(r.broken(), F.struct(
-            F.lit(r.rule).alias("rule"), F.lit(r.column).alias("column"),
-            F.col(r.column).cast("string").alias("value"),
-        )) for r in rules
-    ])
-    return df.select(F.col(key), F.explode(F.array_compact(found)).alias("e")).select(key, "e.*")
+    found = ", ".join(
+        f"CASE WHEN {r.broken} THEN " + struct({
+            "rule": literal(r.rule), "column": literal(r.column),
+            "value": f"CAST({ident(r.column)} AS STRING)"}) + " END" for r in rules)
+    return df.selectExpr(ident(key), f"inline(array_compact(array({found})))")
 
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -110,7 +102,7 @@ def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counted = duplicate_keys(keyed, columns).agg(
         F.count(F.lit(1)).alias("n"), F.min(shown).alias("k")
     )
-    return _report_row(counted, _entry("unique", ",".join(columns), F.col("n"), F.col("k")))
+    return counted.selectExpr(rows([_entry("unique", ",".join(columns), "n", "k")]))
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -134,12 +126,12 @@ def check_relationship(
     counted = orphan_keys(child, column, parent, parent_key).agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"), F.min(column).alias("k")
     )
-    return _report_row(counted, _entry("relationship", column, F.col("n"), F.col("k")))
+    return counted.selectExpr(rows([_entry("relationship", column, "n", "k")]))
 
 
 def check_not_empty(df: DataFrame) -> DataFrame:
-    counted = df.agg((F.count(F.lit(1)) == 0).cast("long").alias("n"))
-    return _report_row(counted, _entry("not_empty", "*", F.col("n"), F.lit(None)))
+    counted = df.selectExpr("count(1) AS n")
+    return counted.selectExpr(rows([_entry("not_empty", "*", "n = 0", "NULL")]))
 
 
 def check_schema(
@@ -161,15 +153,11 @@ def check_schema(
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row count and null count per column in one pass."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(columns)],
-    )
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col("n_rows"), F.col(f"null_{i}").alias("n_null"))
-        for i, c in enumerate(columns)
-    ]
-    return _report_row(counted, *entries)
+    counted = df.selectExpr(
+        "count(1) AS n_rows", *[f"count({ident(c)}) AS v{i}" for i, c in enumerate(columns)])
+    return counted.selectExpr(rows(
+        struct({"column": literal(c), "n_rows": "n_rows", "n_null": f"n_rows - v{i}"})
+        for i, c in enumerate(columns)))
 
 
 @dataclass(frozen=True)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -21,8 +22,8 @@ from grainmart.operators.rollup import union_all
 from grainmart.operators.split import stratified_folds, stratified_holdout
 
 LABEL, WEIGHT = "__label", "__weight"
-_OUTPUT = {"rawPredictionCol": "__raw", "probabilityCol": "__probability", "predictionCol": "__class"}
-_COMMON = {"featuresCol": FEATURES_COL, "labelCol": LABEL, "weightCol": WEIGHT, **_OUTPUT}
+_COLUMNS = {"featuresCol": FEATURES_COL, "labelCol": LABEL, "weightCol": WEIGHT,
+            "predictionCol": "__class"}
 
 
 @dataclass(frozen=True)
@@ -34,18 +35,22 @@ class ModelSpec:
     build: Callable
 
 
+def _name_scores(classifier):
+    return classifier.setRawPredictionCol("__raw").setProbabilityCol("__probability")
+
+
 def _logistic(settings: Settings, n_rows: int, _categories: int) -> LogisticRegression:
     # An L2 penalty of 1 on the summed loss is 1 / rows on Spark's mean loss.
-    return LogisticRegression(
-        maxIter=1000, regParam=1.0 / n_rows, elasticNetParam=0.0, standardization=False, **_COMMON)
+    return _name_scores(LogisticRegression(
+        maxIter=1000, regParam=1.0 / n_rows, elasticNetParam=0.0, standardization=False, **_COLUMNS))
 
 
 def _boosted(depth: int, min_rows: int) -> Callable:
     def build(settings: Settings, rounds: int, categories: int) -> GBTClassifier:
-        return GBTClassifier(
+        return _name_scores(GBTClassifier(
             maxIter=rounds, maxDepth=depth, minInstancesPerNode=min_rows, stepSize=0.03,
             subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=max(32, categories),
-            seed=settings.seed, **_COMMON)
+            seed=settings.seed, **_COLUMNS))
     return build
 
 
@@ -158,15 +163,21 @@ def out_of_fold_scores(
     the other folds."""
     folded = stratified_folds(
         pool, settings.id_col, settings.label_col, settings.folds, settings.seed, name="__fold")
-    scored = []
-    for name in models or list(MODELS):
-        for fold in range(settings.folds):
-            fitted = fit_model(MODELS[name], folded.filter(F.col("__fold") != fold), features, settings)
-            held = fitted.probabilities(folded.filter(F.col("__fold") == fold))
-            scored.append(held.select(
-                settings.id_col, settings.label_col, F.lit(name).alias("model"),
-                F.lit(fold).alias("fold"), "probability"))
-    return union_all(scored)
+    spark = pool.sparkSession
+    ensure_checkpoint_dir(spark)
+
+    def scored(task: tuple[str, int]) -> DataFrame:
+        name, fold = task
+        fitted = fit_model(MODELS[name], folded.filter(F.col("__fold") != fold), features, settings)
+        held = fitted.probabilities(folded.filter(F.col("__fold") == fold))
+        return held.select(
+            settings.id_col, settings.label_col, F.lit(name).alias("model"),
+            F.lit(fold).alias("fold"), "probability")
+
+    # The fits are independent, so a few run at a time and fill each other's idle slots.
+    tasks = [(name, fold) for name in models or list(MODELS) for fold in range(settings.folds)]
+    with ThreadPoolExecutor(settings.parallel_fits) as pool_of_fits:
+        return union_all(list(pool_of_fits.map(inheritable_thread_target(spark)(scored), tasks)))
 
 
 def fit_calibrator(scored: DataFrame, score: str, label: str) -> IsotonicRegressionModel:

@@ -123,18 +123,30 @@ CONTRACT = Contract(
     tuple(m.name for _, rollup in SOURCES for m in rollup.measures if m.zero_default))
 
 
+# Rollup: (measures, staging models it reads).
+ROLLUPS = {
+    "int_bureau_balance_agg": (BUREAU_MONTHS, ("stg_bureau_balance",)),
+    "int_bureau_agg": (BUREAU, ("stg_bureau", "stg_bureau_balance")),
+    "int_previous_application_agg": (PREVIOUS, ("stg_previous_application",)),
+    "int_pos_cash_agg": (POS_CASH, ("stg_pos_cash_balance",)),
+    "int_credit_card_agg": (CREDIT_CARD, ("stg_credit_card_balance",)),
+    "int_installments_agg": (INSTALMENTS, ("stg_installments_payments",)),
+}
+
+
 def roll_up(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The six rollups. Bureau months are rolled up to the credit first and then travel with it."""
-    months = BUREAU_MONTHS.apply(staged["stg_bureau_balance"])
-    credits = enrich(staged["stg_bureau"], months, BUREAU_MONTHS.key, BUREAU_MONTHS.names)
-    return {
-        "int_bureau_balance_agg": months,
-        "int_bureau_agg": BUREAU.apply(credits),
-        "int_previous_application_agg": PREVIOUS.apply(staged["stg_previous_application"]),
-        "int_pos_cash_agg": POS_CASH.apply(staged["stg_pos_cash_balance"]),
-        "int_credit_card_agg": CREDIT_CARD.apply(staged["stg_credit_card_balance"]),
-        "int_installments_agg": INSTALMENTS.apply(staged["stg_installments_payments"]),
-    }
+    """The rollups whose staging models are given. Bureau months are rolled up to the credit
+    first and then travel with it."""
+    rolled = {}
+    for name, (rollup, (child, *_)) in ROLLUPS.items():
+        if not all(t in staged for t in ROLLUPS[name][1]):
+            continue
+        rows = staged[child]
+        if name == "int_bureau_agg":
+            months = rolled["int_bureau_balance_agg"]
+            rows = enrich(rows, months, BUREAU_MONTHS.key, BUREAU_MONTHS.names)
+        rolled[name] = rollup.apply(rows)
+    return rolled
 
 
 def build_mart(applications: DataFrame, rolled: Mapping[str, DataFrame]) -> DataFrame:

@@ -180,14 +180,21 @@ def previous_application(raw: DataFrame) -> DataFrame:
     )
 
 
+# Staging model: (function, raw tables it reads).
+STAGING = {
+    "stg_application": (application, ("application_train", "application_test")),
+    "stg_bureau": (bureau, ("bureau",)),
+    "stg_bureau_balance": (bureau_balance, ("bureau_balance",)),
+    "stg_previous_application": (previous_application, ("previous_application",)),
+    "stg_pos_cash_balance": (pos_cash_balance, ("pos_cash_balance",)),
+    "stg_credit_card_balance": (credit_card_balance, ("credit_card_balance",)),
+    "stg_installments_payments": (installments_payments, ("installments_payments",)),
+}
+
+
 def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All seven staging frames from the eight raw ones."""
+    """All staging frames whose raw tables are given."""
     return {
-        "stg_application": application(raw["application_train"], raw["application_test"]),
-        "stg_bureau": bureau(raw["bureau"]),
-        "stg_bureau_balance": bureau_balance(raw["bureau_balance"]),
-        "stg_previous_application": previous_application(raw["previous_application"]),
-        "stg_pos_cash_balance": pos_cash_balance(raw["pos_cash_balance"]),
-        "stg_credit_card_balance": credit_card_balance(raw["credit_card_balance"]),
-        "stg_installments_payments": installments_payments(raw["installments_payments"]),
+        name: build(*[raw[t] for t in tables])
+        for name, (build, tables) in STAGING.items() if all(t in raw for t in tables)
     }

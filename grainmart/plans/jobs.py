@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -122,21 +123,24 @@ class Artefacts:
         return Explainer.load(spark, self.model_path, self.slot_features, self.metadata["champion"])
 
 
-def train(mart: DataFrame, settings: Settings, run_id: str | None = None) -> dict:
+def train(
+    mart: DataFrame, settings: Settings, run_id: str | None = None,
+    models: Sequence[str] = tuple(MODELS),
+) -> dict:
     """Compare models by cross-validation, refit the champion, calibrate it, record the run."""
     spark, run_id = mart.sparkSession, run_id or uuid.uuid4().hex
     gate(CONTRACT.report(mart) if settings.id_col == KEY else _minimal_contract(mart, settings))
     pool, _ = split_pools(mart, settings.split_col)
     features = feature_set(mart, settings)
 
-    oof = out_of_fold_scores(pool, features, settings).persist(StorageLevel.MEMORY_AND_DISK)
+    oof = out_of_fold_scores(pool, features, settings, models).persist(StorageLevel.MEMORY_AND_DISK)
     by_fold = rank_metrics(oof, "probability", settings.label_col, ["model", "fold"])
     append_runs(metrics_long(by_fold, ["model", "fold"]), run_id, f"{settings.reports_dir}/runs")
     runs = spark.read.parquet(f"{settings.reports_dir}/runs").filter(F.col("run_id") == run_id)
     folds = runs.groupBy("model", "fold").pivot("metric", ["roc_auc", "pr_auc"]).agg(F.first("value"))
     summary = cv_summary(folds)
     cv_rows = [r.asDict() for r in summary.collect()]
-    name = champion(summary, list(MODELS)).first()["model"]
+    name = champion(summary, list(models)).first()["model"]
     oof.unpersist()
 
     split = stratified_holdout(

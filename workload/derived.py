@@ -31,11 +31,17 @@ def _double(expression: str) -> str:
     return f"CAST({expression} AS DOUBLE)"
 
 
+# Whole units: their sums are exact in double arithmetic in any order of addition.
+_BALANCE = _double("floor(c_acctbal)")
+_PRICE = _double("floor(o_totalprice)")
+_LINE = _double("floor(l_extendedprice)")
+_VALUE = _double("floor(value)")
+
 _APPLICATION = {
     "SK_ID_CURR": "c_custkey",
     "NAME_CONTRACT_TYPE": "CASE WHEN c_nationkey < 5 THEN 'Revolving loans' ELSE 'Cash loans' END",
-    "AMT_CREDIT": "c_acctbal * 4", "AMT_ANNUITY": "c_acctbal / 8 + 20",
-    "AMT_GOODS_PRICE": "c_acctbal - 100",
+    "AMT_CREDIT": f"{_BALANCE} * 4", "AMT_ANNUITY": f"{_BALANCE} / 8 + 20",
+    "AMT_GOODS_PRICE": f"{_BALANCE} - 100",
     "AMT_INCOME_TOTAL": f"nullif({_double(_spread('c_custkey', 31, 40))}, 7) * 1000",
     "CODE_GENDER": _pick("c_nationkey", "F", "M", "F"),
     "FLAG_OWN_CAR": _pick("c_custkey", "Y", "N"), "FLAG_OWN_REALTY": _pick("c_custkey + c_nationkey", "N", "Y"),
@@ -56,7 +62,7 @@ _APPLICATION = {
     "DAYS_LAST_PHONE_CHANGE": f"-(1 + {_spread('c_custkey', 19, 4000)})",
     "OWN_CAR_AGE": _double(_spread("c_custkey", 7, 25, 3)),
     **{f"EXT_SOURCE_{i}": f"{_double(_spread('c_custkey', 13 * i + 4, 64, 9))} / 64" for i in (1, 2, 3)},
-    "REGION_POPULATION_RELATIVE": f"{_double(_spread('c_custkey', 29, 128))} / 1024",
+    "REGION_POPULATION_RELATIVE": f"{_double(_spread('c_custkey', 29, 128))} / 64",
     "REGION_RATING_CLIENT": f"1 + {_spread('c_custkey', 1, 3)}",
     "REGION_RATING_CLIENT_W_CITY": f"1 + {_spread('c_custkey', 2, 3)}",
     **{c: _spread(f"(c_custkey + {i})", 3, 2) for i, c in enumerate((
@@ -70,7 +76,7 @@ _APPLICATION = {
     **{f"AMT_REQ_CREDIT_BUREAU_{u}": _double(_spread("c_custkey", 11 + 2 * i, 7, 6)) for i, u in
        enumerate(("HOUR", "DAY", "WEEK", "MON", "QRT", "YEAR"))},
     **{c: f"{_double(_spread('c_custkey', 2 * i + 3, 17, i))} / 16" for i, c in enumerate(HOUSING)},
-    "TOTALAREA_MODE": f"{_double(_spread('c_custkey', 23, 100, 0))} / 128",
+    "TOTALAREA_MODE": f"{_double(_spread('c_custkey', 23, 100, 0))} / 64",
     "WALLSMATERIAL_MODE": _pick("c_custkey", "Panel", None, "Stone, brick"),
     "HOUSETYPE_MODE": _pick("c_nationkey", "block of flats", None),
     "FONDKAPREMONT_MODE": _pick("c_custkey", None, None, "reg oper account"),
@@ -94,11 +100,11 @@ RAW: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "DAYS_ENDDATE_FACT": _double(f"CASE WHEN o_orderstatus = 'F' THEN {_ORDER_DAYS} END"),
         "DAYS_CREDIT_UPDATE": _ORDER_DAYS, "CNT_CREDIT_PROLONG": _spread("o_orderkey", 3, 5),
         "AMT_CREDIT_MAX_OVERDUE": f"nullif({_double(_spread('o_orderkey', 11, 50))}, 0)",
-        "AMT_CREDIT_SUM": "nullif(o_totalprice, 0)",
-        "AMT_CREDIT_SUM_DEBT": "CASE WHEN o_orderstatus <> 'F' THEN o_totalprice / 2 END",
-        "AMT_CREDIT_SUM_LIMIT": "CASE WHEN o_orderstatus = 'P' THEN o_totalprice END",
-        "AMT_CREDIT_SUM_OVERDUE": "CASE WHEN o_orderstatus = 'P' THEN o_totalprice / 4 ELSE 0 END",
-        "AMT_ANNUITY": "CASE WHEN o_orderstatus = 'O' THEN o_totalprice / 16 END"}),
+        "AMT_CREDIT_SUM": f"nullif({_PRICE}, 0)",
+        "AMT_CREDIT_SUM_DEBT": f"CASE WHEN o_orderstatus <> 'F' THEN {_PRICE} / 2 END",
+        "AMT_CREDIT_SUM_LIMIT": f"CASE WHEN o_orderstatus = 'P' THEN {_PRICE} END",
+        "AMT_CREDIT_SUM_OVERDUE": f"CASE WHEN o_orderstatus = 'P' THEN {_PRICE} / 4 ELSE 0 END",
+        "AMT_ANNUITY": f"CASE WHEN o_orderstatus = 'O' THEN {_PRICE} / 16 END"}),
     "bureau_balance": ("lineitem", None, {
         "SK_ID_BUREAU": "l_orderkey", "MONTHS_BALANCE": "CAST(-l_linenumber AS BIGINT)",
         "STATUS": "CASE l_returnflag WHEN 'R' THEN CAST(l_linenumber % 6 AS VARCHAR(2)) "
@@ -114,10 +120,10 @@ RAW: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "NAME_PRODUCT_TYPE": ("x-sell", "walk-in"), "CHANNEL_TYPE": ("Stone", "Contact center"),
             "NAME_SELLER_INDUSTRY": ("Connectivity", "XNA"), "NAME_YIELD_GROUP": ("low", "high"),
             "PRODUCT_COMBINATION": ("Cash", "POS mobile")}.items()},
-        "AMT_ANNUITY": "o_totalprice / 32", "AMT_APPLICATION": f"{_double(_spread('o_orderkey', 13, 21))} * 512",
-        "AMT_CREDIT": "CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END",
+        "AMT_ANNUITY": f"{_PRICE} / 32", "AMT_APPLICATION": f"{_double(_spread('o_orderkey', 13, 21))} * 512",
+        "AMT_CREDIT": f"CASE WHEN o_orderstatus = 'P' THEN 0 ELSE {_PRICE} END",
         "AMT_DOWN_PAYMENT": f"nullif({_double(_spread('o_orderkey', 17, 33))}, 0)",
-        "AMT_GOODS_PRICE": "o_totalprice", "RATE_DOWN_PAYMENT": f"{_double(_spread('o_orderkey', 17, 33, 0))} / 64",
+        "AMT_GOODS_PRICE": f"{_PRICE}", "RATE_DOWN_PAYMENT": f"{_double(_spread('o_orderkey', 17, 33, 0))} / 64",
         "RATE_INTEREST_PRIMARY": "CAST(NULL AS DOUBLE)", "RATE_INTEREST_PRIVILEGED": "CAST(NULL AS DOUBLE)",
         "CNT_PAYMENT": _double(_spread("o_orderkey", 5, 48, 12)),
         "DAYS_DECISION": _ORDER_DAYS, "DAYS_FIRST_DRAWING": "CAST(365243 AS DOUBLE)",
@@ -135,8 +141,8 @@ RAW: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "credit_card_balance": ("events", None, {
         "SK_ID_PREV": _spread("event_id", 7, 211), "SK_ID_CURR": "user_id",
         "MONTHS_BALANCE": "-(1 + event_id % 96)", "NAME_CONTRACT_STATUS": "event_type",
-        "AMT_BALANCE": "value", "AMT_CREDIT_LIMIT_ACTUAL": _double(_spread("event_id", 3, 10)),
-        **{f"AMT_{c}": f"CASE WHEN event_type <> '{t}' THEN value * {m} END" for c, t, m in (
+        "AMT_BALANCE": _VALUE, "AMT_CREDIT_LIMIT_ACTUAL": _double(_spread("event_id", 3, 10)),
+        **{f"AMT_{c}": f"CASE WHEN event_type <> '{t}' THEN {_VALUE} * {m} END" for c, t, m in (
             ("DRAWINGS_ATM_CURRENT", "view", 2), ("DRAWINGS_CURRENT", "click", 3),
             ("DRAWINGS_OTHER_CURRENT", "error", 4), ("DRAWINGS_POS_CURRENT", "signup", 5),
             ("PAYMENT_CURRENT", "view", 6), ("PAYMENT_TOTAL_CURRENT", "purchase", 7),
@@ -152,14 +158,15 @@ RAW: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "NUM_INSTALMENT_VERSION": "CAST(1 AS DOUBLE)", "NUM_INSTALMENT_NUMBER": "l_linenumber",
         "DAYS_INSTALMENT": _double(_SHIP_DAYS),
         "DAYS_ENTRY_PAYMENT": _double(f"{_SHIP_DAYS} + CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber * 9 - 12 END"),
-        "AMT_INSTALMENT": "CASE WHEN l_quantity = 1 THEN 0 ELSE l_extendedprice END",
-        "AMT_PAYMENT": "l_extendedprice * (1 - l_discount)"}),
+        "AMT_INSTALMENT": f"CASE WHEN l_quantity = 1 THEN 0 ELSE {_LINE} END",
+        "AMT_PAYMENT": _double("floor(l_extendedprice * (1 - l_discount))")}),
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str, names=tuple(RAW)) -> dict[str, DataFrame]:
     frames = {}
-    for name, (given, restriction, columns) in RAW.items():
+    for name in names:
+        given, restriction, columns = RAW[name]
         df = spark.read.parquet(f"{sf_dir}/{given}.parquet")
         df = df.filter(restriction) if restriction else df
         frames[name] = df.selectExpr(*[f"{sql} AS {c}" for c, sql in columns.items()])
