@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +27,27 @@ from workload.derived import RAW, raw_cte, raw_tables
 SETTINGS = Settings()
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+# Averages of ratios: the only measures whose last bits depend on the order of addition. All
+# others come from exact sums of whole units.
+RATIO_AVERAGES = (
+    "bureau_bb_dpd_rate_avg", "prev_app_credit_to_application_ratio_avg",
+    "prev_app_down_payment_rate_avg", "cc_utilization_avg", "cc_min_payment_ratio_avg",
+    "inst_payment_ratio_avg", "returned_rate_avg")
+
+
+def rounded(df: DataFrame, only: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
     """Doubles at a precision that does not depend on the order of addition, and no minus zero."""
     return df.selectExpr(*[
         f"round(`{f.name}`, {digits}) + 0D AS `{f.name}`"
-        if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`" for f in df.schema.fields
+        if isinstance(f.dataType, T.DoubleType) and (only is None or f.name in only)
+        else f"`{f.name}`" for f in df.schema.fields
     ])
 
 
+def settled(df: DataFrame) -> DataFrame:
+    return rounded(df, RATIO_AVERAGES, 10)
+
+
 def written(df: DataFrame) -> DataFrame:
     """The frame as a table in the shared checkpoint folder, for operators that pass over it
     more than once."""
@@ -57,15 +71,15 @@ def training_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage(name: str):
-    return lambda spark, sf_dir: rounded(staged(spark, sf_dir, (name,))[name])
+    return lambda spark, sf_dir: staged(spark, sf_dir, (name,))[name]
 
 
 def _roll(name: str):
-    return lambda spark, sf_dir: rounded(roll_up(staged(spark, sf_dir, ROLLUPS[name][1]))[name])
+    return lambda spark, sf_dir: settled(roll_up(staged(spark, sf_dir, ROLLUPS[name][1]))[name])
 
 
 def applicant_mart(spark, sf_dir):
-    return rounded(mart(spark, sf_dir))
+    return settled(mart(spark, sf_dir))
 
 
 def applicant_declared_rules(spark, sf_dir):
@@ -165,16 +179,20 @@ QUERIES = {
 # ---------------------------------------------------------------------------------- oracle SQL
 
 
-_SIX = ", /*digits*/ 6) + 0.0"
+_OPEN, _CLOSE = "/*to*/round((", "), /*digits*/ 10)"
 
 
 def r6(expression: str) -> str:
-    return f"round({expression}{_SIX}"
+    return f"round({expression}, 6) + 0.0"
+
+
+def r10(expression: str) -> str:
+    return f"{_OPEN}{expression}{_CLOSE}"
 
 
 def _unrounded(sql: str) -> str:
     """The same SQL with intermediate results kept at full precision."""
-    return sql.replace(_SIX, ", 15) + 0.0")
+    return sql.replace(_OPEN, "((").replace(_CLOSE, "))")
 
 
 def _plain(raw: str, *, without=()) -> list[str]:
@@ -184,11 +202,11 @@ def _plain(raw: str, *, without=()) -> list[str]:
 
 
 def _ratio(num: str, den: str) -> str:
-    return r6(f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / {den} END")
+    return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / {den} END"
 
 
 def _years(column: str) -> str:
-    return r6(f"-({column}) / CAST(365.25 AS DOUBLE)")
+    return f"-({column}) / CAST(365.25 AS DOUBLE)"
 
 
 _FOLDED = (*CONTACT_FLAGS, *DOCUMENT_FLAGS, *HOUSING)
@@ -205,10 +223,9 @@ _APPLICATION_SQL = ", ".join([
     f"{_years('DAYS_LAST_PHONE_CHANGE')} AS last_phone_change_years",
     f"{' + '.join(CONTACT_FLAGS)} AS contactability_score",
     f"{' + '.join(DOCUMENT_FLAGS)} AS documents_submitted_count",
-    r6("(" + " + ".join(f"ifnull({c}, 0)" for c in HOUSING) + ") / CAST(14 AS DOUBLE)")
-    + " AS housing_quality_score",
-    r6("(" + " + ".join(f"CAST({c} IS NULL AS INT)" for c in HOUSING) + ") / CAST(14 AS DOUBLE)")
-    + " AS housing_info_missing_rate",
+    "(" + " + ".join(f"ifnull({c}, 0)" for c in HOUSING) + ") / CAST(14 AS DOUBLE) AS housing_quality_score",
+    "(" + " + ".join(f"CAST({c} IS NULL AS INT)" for c in HOUSING)
+    + ") / CAST(14 AS DOUBLE) AS housing_info_missing_rate",
 ])
 
 _STAGE_SQL = {
@@ -253,7 +270,7 @@ def _where(condition: str) -> str:
 
 
 def _rate(condition: str) -> str:
-    return r6(f"count(*) FILTER (WHERE {condition}) / CAST(count(*) AS DOUBLE)")
+    return f"count(*) FILTER (WHERE {condition}) / CAST(count(*) AS DOUBLE)"
 
 
 def _safe(num: str, den: str) -> str:
@@ -275,16 +292,16 @@ _ROLL_SQL = {
             "bureau_count": (_n, 0), "bureau_credit_types_count": "count(DISTINCT CREDIT_TYPE)",
             "bureau_active_count": (_where("CREDIT_ACTIVE = 'Active'"), 0),
             "bureau_closed_count": (_where("CREDIT_ACTIVE = 'Closed'"), 0),
-            "bureau_days_since_credit_applied_avg": r6("avg(-DAYS_CREDIT)"),
+            "bureau_days_since_credit_applied_avg": "avg(-DAYS_CREDIT)",
             "bureau_days_since_credit_applied_min": "min(-DAYS_CREDIT)",
             "bureau_credit_day_overdue_max": "max(CREDIT_DAY_OVERDUE)",
             "bureau_cnt_credit_prolong_sum": ("CAST(sum(CNT_CREDIT_PROLONG) AS BIGINT)", 0),
             "bureau_amt_credit_sum_total": "sum(AMT_CREDIT_SUM)",
             "bureau_amt_credit_sum_debt_total": "sum(AMT_CREDIT_SUM_DEBT)",
             "bureau_amt_credit_sum_overdue_total": "sum(AMT_CREDIT_SUM_OVERDUE)",
-            "bureau_debt_to_credit_ratio": r6(_safe("sum(AMT_CREDIT_SUM_DEBT)", "sum(AMT_CREDIT_SUM)")),
-            "bureau_overdue_to_credit_ratio": r6(_safe("sum(AMT_CREDIT_SUM_OVERDUE)", "sum(AMT_CREDIT_SUM)")),
-            "bureau_bb_months_count_avg": r6("avg(months)"), "bureau_bb_dpd_rate_avg": r6("avg(late)"),
+            "bureau_debt_to_credit_ratio": _safe("sum(AMT_CREDIT_SUM_DEBT)", "sum(AMT_CREDIT_SUM)"),
+            "bureau_overdue_to_credit_ratio": _safe("sum(AMT_CREDIT_SUM_OVERDUE)", "sum(AMT_CREDIT_SUM)"),
+            "bureau_bb_months_count_avg": "avg(months)", "bureau_bb_dpd_rate_avg": r10("avg(late)"),
             "bureau_bb_max_dpd_status_max": "max(worst)"}),
     "int_previous_application_agg": (
         ("previous_application",), "previous_application", "has_previous_application_history", {
@@ -293,12 +310,12 @@ _ROLL_SQL = {
             "prev_app_refused_count": (_where("NAME_CONTRACT_STATUS = 'Refused'"), 0),
             "prev_app_canceled_count": (_where("NAME_CONTRACT_STATUS = 'Canceled'"), 0),
             "prev_app_approval_rate": _rate("NAME_CONTRACT_STATUS = 'Approved'"),
-            "prev_app_amt_credit_avg": r6("avg(AMT_CREDIT)"),
-            "prev_app_amt_annuity_avg": r6("avg(AMT_ANNUITY)"),
-            "prev_app_amt_application_avg": r6("avg(AMT_APPLICATION)"),
-            "prev_app_credit_to_application_ratio_avg": r6("avg(" + _safe("AMT_CREDIT", "AMT_APPLICATION") + ")"),
-            "prev_app_down_payment_rate_avg": r6("avg(" + _safe("AMT_DOWN_PAYMENT", "AMT_CREDIT") + ")"),
-            "prev_app_cnt_payment_avg": r6("avg(CNT_PAYMENT)"),
+            "prev_app_amt_credit_avg": "avg(AMT_CREDIT)",
+            "prev_app_amt_annuity_avg": "avg(AMT_ANNUITY)",
+            "prev_app_amt_application_avg": "avg(AMT_APPLICATION)",
+            "prev_app_credit_to_application_ratio_avg": r10("avg(" + _safe("AMT_CREDIT", "AMT_APPLICATION") + ")"),
+            "prev_app_down_payment_rate_avg": r10("avg(" + _safe("AMT_DOWN_PAYMENT", "AMT_CREDIT") + ")"),
+            "prev_app_cnt_payment_avg": "avg(CNT_PAYMENT)",
             "prev_app_days_since_decision_min": "-max(DAYS_DECISION)",
             "prev_app_days_since_decision_max": "-min(DAYS_DECISION)",
             "prev_app_new_client_count": (_where("NAME_CLIENT_TYPE = 'New'"), 0)}),
@@ -307,32 +324,32 @@ _ROLL_SQL = {
             "pos_records_count": (_n, 0), "pos_distinct_prev_count": ("count(DISTINCT SK_ID_PREV)", 0),
             "pos_completed_count": (_where("NAME_CONTRACT_STATUS = 'Completed'"), 0),
             "pos_active_count": (_where("NAME_CONTRACT_STATUS = 'Active'"), 0),
-            "pos_cnt_instalment_avg": r6("avg(CNT_INSTALMENT)"),
+            "pos_cnt_instalment_avg": "avg(CNT_INSTALMENT)",
             "pos_months_balance_min": "min(MONTHS_BALANCE)", "pos_dpd_max": "max(SK_DPD)",
-            "pos_dpd_avg": r6("avg(SK_DPD)"), "pos_dpd_def_max": "max(SK_DPD_DEF)",
+            "pos_dpd_avg": "avg(SK_DPD)", "pos_dpd_def_max": "max(SK_DPD_DEF)",
             "pos_dpd_rate": _rate("SK_DPD > 0")}),
     "int_credit_card_agg": (
         ("credit_card_balance",), "credit_card_balance", "has_credit_card_history", {
             "cc_records_count": (_n, 0), "cc_distinct_prev_count": ("count(DISTINCT SK_ID_PREV)", 0),
-            "cc_amt_balance_avg": r6("avg(AMT_BALANCE)"), "cc_amt_balance_max": "max(AMT_BALANCE)",
-            "cc_credit_limit_avg": r6("avg(AMT_CREDIT_LIMIT_ACTUAL)"),
-            "cc_utilization_avg": r6("avg(" + _safe("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL") + ")"),
-            "cc_utilization_max": r6("max(" + _safe("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL") + ")"),
-            "cc_amt_drawings_atm_avg": r6("avg(AMT_DRAWINGS_ATM_CURRENT)"),
-            "cc_amt_drawings_avg": r6("avg(AMT_DRAWINGS_CURRENT)"),
-            "cc_amt_payment_total_avg": r6("avg(AMT_PAYMENT_TOTAL_CURRENT)"),
-            "cc_min_payment_ratio_avg": r6("avg(" + _safe("AMT_PAYMENT_TOTAL_CURRENT", "AMT_INST_MIN_REGULARITY") + ")"),
+            "cc_amt_balance_avg": "avg(AMT_BALANCE)", "cc_amt_balance_max": "max(AMT_BALANCE)",
+            "cc_credit_limit_avg": "avg(AMT_CREDIT_LIMIT_ACTUAL)",
+            "cc_utilization_avg": r10("avg(" + _safe("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL") + ")"),
+            "cc_utilization_max": "max(" + _safe("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL") + ")",
+            "cc_amt_drawings_atm_avg": "avg(AMT_DRAWINGS_ATM_CURRENT)",
+            "cc_amt_drawings_avg": "avg(AMT_DRAWINGS_CURRENT)",
+            "cc_amt_payment_total_avg": "avg(AMT_PAYMENT_TOTAL_CURRENT)",
+            "cc_min_payment_ratio_avg": r10("avg(" + _safe("AMT_PAYMENT_TOTAL_CURRENT", "AMT_INST_MIN_REGULARITY") + ")"),
             "cc_underpaid_months_count": (_where(_safe("AMT_PAYMENT_TOTAL_CURRENT", "AMT_INST_MIN_REGULARITY") + " < 1"), 0),
             "cc_months_balance_min": "min(MONTHS_BALANCE)", "cc_dpd_max": "max(SK_DPD)",
-            "cc_dpd_avg": r6("avg(SK_DPD)"), "cc_dpd_def_max": "max(SK_DPD_DEF)"}),
+            "cc_dpd_avg": "avg(SK_DPD)", "cc_dpd_def_max": "max(SK_DPD_DEF)"}),
     "int_installments_agg": (
         ("installments_payments",), "installments_payments", "has_installments_history", {
             "inst_payments_count": (_n, 0), "inst_distinct_prev_count": ("count(DISTINCT SK_ID_PREV)", 0),
-            "inst_days_late_avg": r6("avg(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT)"),
+            "inst_days_late_avg": "avg(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT)",
             "inst_days_late_max": "max(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT)",
             "inst_late_payment_rate": _rate("DAYS_ENTRY_PAYMENT > DAYS_INSTALMENT"),
             "inst_severely_late_payment_rate": _rate("DAYS_ENTRY_PAYMENT > DAYS_INSTALMENT + 30"),
-            "inst_payment_ratio_avg": r6("avg(" + _safe("AMT_PAYMENT", "AMT_INSTALMENT") + ")"),
+            "inst_payment_ratio_avg": r10("avg(" + _safe("AMT_PAYMENT", "AMT_INSTALMENT") + ")"),
             "inst_underpayment_rate": _rate(_safe("AMT_PAYMENT", "AMT_INSTALMENT") + " < CAST(0.99 AS DOUBLE)"),
             "inst_amt_instalment_sum": "sum(AMT_INSTALMENT)", "inst_amt_payment_sum": "sum(AMT_PAYMENT)"}),
 }

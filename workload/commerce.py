@@ -18,7 +18,7 @@ from grainmart.operators.rollup import (
     Rollup, enrich, feature_mart, split_pools, union_all, union_pools,
 )
 from grainmart.operators.score import absent_ids, lookup, lookup_requests, score_records
-from workload.applicant import rounded
+from workload.applicant import rounded, settled
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stg_orders_clean(spark, sf_dir):
     offset = F.datediff("o_orderdate", F.lit("2001-08-02"))
     priority = scalar.digit_or_null(F.substring("o_orderpriority", 1, 1))
-    return rounded(table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_key"),
         scalar.guarded_ratio("o_totalprice", "o_custkey").alias("price_per_custkey"),
         scalar.days_since(offset).alias("days_since_order"),
@@ -42,7 +42,7 @@ def stg_orders_clean(spark, sf_dir):
         scalar.offset_difference(offset, -priority).alias("shifted_offset"),
         scalar.digit_or_null("o_orderpriority").alias("whole_text_digit"),
         scalar.rendered(scalar.without_sentinel(priority, 5)).alias("priority_text"),
-    ))
+    )
 
 
 def stg_customer_flags(spark, sf_dir):
@@ -121,7 +121,7 @@ def order_line_enrichment(spark, sf_dir):
 
 
 def order_two_level_rollup(spark, sf_dir):
-    return rounded(_order_history(spark, sf_dir))
+    return settled(_order_history(spark, sf_dir))
 
 
 def _event_history(spark, sf_dir):
@@ -130,7 +130,7 @@ def _event_history(spark, sf_dir):
 
 
 def event_rollup(spark, sf_dir):
-    return rounded(_event_history(spark, sf_dir))
+    return settled(_event_history(spark, sf_dir))
 
 
 def customer_mart(spark, sf_dir):
@@ -142,7 +142,7 @@ def customer_mart(spark, sf_dir):
 
 
 def mart_customer_features(spark, sf_dir):
-    return rounded(customer_mart(spark, sf_dir))
+    return settled(customer_mart(spark, sf_dir))
 
 
 def document_pool(spark, sf_dir):
@@ -326,7 +326,7 @@ def keyed_lookup(spark, sf_dir):
 def requested_rows(spark, sf_dir):
     """A request per event: many repeat, and the later half of them are not customers."""
     requests = table(spark, sf_dir, "events").select((F.col("user_id") * 20).alias("c_custkey"))
-    return rounded(lookup_requests(customer_mart(spark, sf_dir), requests, "c_custkey").select(
+    return settled(lookup_requests(customer_mart(spark, sf_dir), requests, "c_custkey").select(
         "c_custkey", "found", "c_mktsegment", "order_count", "event_value_avg"))
 
 
@@ -377,25 +377,25 @@ _ORDER_HISTORY = _LINES + """, order_history AS (SELECT o_custkey AS c_custkey,
   count(DISTINCT o_orderpriority) AS priority_count,
   count(*) FILTER (WHERE o_orderstatus = 'O') AS open_order_count,
   count(*) FILTER (WHERE o_orderstatus = 'P') AS partial_order_count,
-  round(avg(floor(o_totalprice)), 6) AS price_avg, min(floor(o_totalprice)) AS price_min,
+  avg(floor(o_totalprice)) AS price_avg, min(floor(o_totalprice)) AS price_min,
   max(floor(o_totalprice)) AS price_max, sum(floor(o_totalprice)) AS price_total,
   CAST(sum(line_count) AS BIGINT) AS lines_total,
-  round(sum(floor(o_totalprice)) FILTER (WHERE o_orderstatus = 'O') / sum(floor(o_totalprice)), 6) AS open_price_ratio,
-  CAST(NULL AS DOUBLE) AS zero_price_ratio, round(avg(line_count), 6) AS lines_per_order_avg,
-  round(avg(returned_rate), 6) AS returned_rate_avg, max(max_quantity) AS max_quantity_max
+  sum(floor(o_totalprice)) FILTER (WHERE o_orderstatus = 'O') / sum(floor(o_totalprice)) AS open_price_ratio,
+  CAST(NULL AS DOUBLE) AS zero_price_ratio, avg(line_count) AS lines_per_order_avg,
+  round(avg(returned_rate), 10) AS returned_rate_avg, max(max_quantity) AS max_quantity_max
   FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey GROUP BY 1)"""
 _EVENT_HISTORY = """event_history AS (SELECT user_id AS c_custkey, count(*) AS event_count,
   count(DISTINCT event_type) AS event_type_count,
   count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
-  round(count(*) FILTER (WHERE event_type = 'error') / CAST(count(*) AS DOUBLE), 6) AS error_rate,
-  round(count(*) FILTER (WHERE floor(value) > 50 AND floor(value) <> 100) / CAST(count(*) AS DOUBLE), 6) AS high_value_rate,
-  round(avg(floor(value)), 6) AS event_value_avg, max(floor(value)) AS event_value_max,
-  round(avg(floor(value)) FILTER (WHERE event_type = 'purchase'), 6) AS purchase_value_avg
+  count(*) FILTER (WHERE event_type = 'error') / CAST(count(*) AS DOUBLE) AS error_rate,
+  count(*) FILTER (WHERE floor(value) > 50 AND floor(value) <> 100) / CAST(count(*) AS DOUBLE) AS high_value_rate,
+  avg(floor(value)) AS event_value_avg, max(floor(value)) AS event_value_max,
+  avg(floor(value)) FILTER (WHERE event_type = 'purchase') AS purchase_value_avg
   FROM events GROUP BY 1)"""
 _ZERO = ("order_count", "open_order_count", "partial_order_count", "lines_total", "event_count",
          "event_type_count", "purchase_count")
 _MART = f"""{_ORDER_HISTORY}, {_EVENT_HISTORY}, mart AS (SELECT c.c_custkey, c_nationkey, c_mktsegment,
-  round(CASE WHEN floor(c_acctbal) > 0 THEN CAST(c_nationkey AS DOUBLE) / floor(c_acctbal) END, 6) AS nation_per_balance,
+  CASE WHEN floor(c_acctbal) > 0 THEN CAST(c_nationkey AS DOUBLE) / floor(c_acctbal) END AS nation_per_balance,
   {", ".join(f"ifnull({c}, 0) AS {c}" for c in _ZERO)},
   priority_count, price_avg, price_min, price_max, price_total, open_price_ratio, zero_price_ratio,
   lines_per_order_avg, returned_rate_avg, max_quantity_max, o.c_custkey IS NOT NULL AS has_order_history,
@@ -471,8 +471,8 @@ ORACLE = {
       WITH o AS (SELECT *, date_diff('day', DATE '2001-08-02', CAST(o_orderdate AS DATE)) AS d,
         CAST(left(o_orderpriority, 1) AS INT) AS p FROM orders)
       SELECT o_orderkey AS order_key,
-        {r6('CASE WHEN o_custkey > 0 THEN o_totalprice / o_custkey END')} AS price_per_custkey,
-        -d AS days_since_order, {r6('-d / CAST(365.25 AS DOUBLE)')} AS years_since_order, p AS priority,
+        CASE WHEN o_custkey > 0 THEN o_totalprice / o_custkey END AS price_per_custkey,
+        -d AS days_since_order, -d / CAST(365.25 AS DOUBLE) AS years_since_order, p AS priority,
         nullif(p, 5) AS known_priority, p = 5 AS is_low_priority,
         o_orderstatus IN ('O', 'P') AS is_running, d + p AS shifted_offset,
         CAST(NULL AS INT) AS whole_text_digit, CAST(nullif(p, 5) AS VARCHAR) AS priority_text FROM o""",

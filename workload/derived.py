@@ -120,7 +120,7 @@ RAW: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "NAME_PRODUCT_TYPE": ("x-sell", "walk-in"), "CHANNEL_TYPE": ("Stone", "Contact center"),
             "NAME_SELLER_INDUSTRY": ("Connectivity", "XNA"), "NAME_YIELD_GROUP": ("low", "high"),
             "PRODUCT_COMBINATION": ("Cash", "POS mobile")}.items()},
-        "AMT_ANNUITY": f"{_PRICE} / 32", "AMT_APPLICATION": f"{_double(_spread('o_orderkey', 13, 21))} * 512",
+        "AMT_ANNUITY": f"{_PRICE} / 32", "AMT_APPLICATION": f"{_double(_spread('o_orderkey', 13, 21))} * 1048576",
         "AMT_CREDIT": f"CASE WHEN o_orderstatus = 'P' THEN 0 ELSE {_PRICE} END",
         "AMT_DOWN_PAYMENT": f"nullif({_double(_spread('o_orderkey', 17, 33))}, 0)",
         "AMT_GOODS_PRICE": f"{_PRICE}", "RATE_DOWN_PAYMENT": f"{_double(_spread('o_orderkey', 17, 33, 0))} / 64",
@@ -141,14 +141,14 @@ RAW: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "credit_card_balance": ("events", None, {
         "SK_ID_PREV": _spread("event_id", 7, 211), "SK_ID_CURR": "user_id",
         "MONTHS_BALANCE": "-(1 + event_id % 96)", "NAME_CONTRACT_STATUS": "event_type",
-        "AMT_BALANCE": _VALUE, "AMT_CREDIT_LIMIT_ACTUAL": _double(_spread("event_id", 3, 10)),
+        "AMT_BALANCE": _VALUE, "AMT_CREDIT_LIMIT_ACTUAL": f"{_double(_spread('event_id', 3, 10))} * 1024",
         **{f"AMT_{c}": f"CASE WHEN event_type <> '{t}' THEN {_VALUE} * {m} END" for c, t, m in (
             ("DRAWINGS_ATM_CURRENT", "view", 2), ("DRAWINGS_CURRENT", "click", 3),
             ("DRAWINGS_OTHER_CURRENT", "error", 4), ("DRAWINGS_POS_CURRENT", "signup", 5),
             ("PAYMENT_CURRENT", "view", 6), ("PAYMENT_TOTAL_CURRENT", "purchase", 7),
             ("RECEIVABLE_PRINCIPAL", "view", 8), ("RECIVABLE", "view", 9),
             ("TOTAL_RECEIVABLE", "view", 10))},
-        "AMT_INST_MIN_REGULARITY": f"{_double(_spread('event_id', 7, 64))} * 8",
+        "AMT_INST_MIN_REGULARITY": f"{_double(_spread('event_id', 7, 64))} * 128",
         **{f"CNT_{c}": _spread("event_id", 3 + 2 * i, 5) for i, c in enumerate((
             "DRAWINGS_ATM_CURRENT", "DRAWINGS_CURRENT", "DRAWINGS_OTHER_CURRENT",
             "DRAWINGS_POS_CURRENT", "INSTALMENT_MATURE_CUM"))},
