@@ -36,7 +36,8 @@ def running_totals(
         *[F.sum(m).alias(m) for m in measures],
     )).scalar()
     sliced = groups.withColumn("__cuts", cuts["cuts"]).withColumn(
-        "__slice", F.size(F.filter("__cuts", lambda cut: cut < F.col(order)))).drop("__cuts")
+        "__slice", F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < F.col(order))), F.lit(0))
+    ).drop("__cuts")
 
     keys = [*by, "__slice"]
     earlier = Window.partitionBy(*by, F.lit(0)).orderBy("__slice").rowsBetween(
