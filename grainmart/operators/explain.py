@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmart.functions.scalar import rendered
+from grainmart.functions.sqltext import ident, literal
 from grainmart.operators.features import FEATURES_COL
 from grainmart.operators.split import seeded_sample
 from grainmart.operators.train import MODELS
@@ -170,20 +170,19 @@ class Explainer:
 
     def explain(self, rows: DataFrame, id_col: str) -> DataFrame:
         """(id, base value, predicted log-odds, contributions by falling magnitude)."""
-        base = F.lit(base_value(self.leaves))
-        records = F.array(*[
-            F.struct(
-                (-F.abs(F.col("__values")[i])).alias("order"), F.lit(f).alias("feature"),
-                rendered(f).alias("value"), F.col("__values")[i].alias("contribution"))
-            for i, f in enumerate(self.features)
-        ])
-        ranked = F.transform(F.array_sort(records), lambda r: F.struct(
-            r["feature"].alias("feature"), r["value"].alias("value"),
-            r["contribution"].alias("contribution")))
-        added = F.aggregate("__values", F.lit(0.0), lambda total, v: total + v)
-        return self._with_values(rows).select(
-            id_col, base.alias("base_value"), (base + added).alias("predicted_score"),
-            ranked.alias("contributions"))
+        names = ", ".join(literal(f) for f in self.features)
+        shown = ", ".join(f"CAST({ident(f)} AS STRING)" for f in self.features)
+        base = literal(base_value(self.leaves))
+        return self._with_values(rows).selectExpr(
+            ident(id_col), f"{base} AS base_value",
+            f"{base} + aggregate(__values, 0D, (total, v) -> total + v) AS predicted_score",
+            # A leading sort field orders the records; it is dropped again afterwards.
+            f"""transform(array_sort(transform(
+                arrays_zip(array({names}), array({shown}), __values),
+                r -> named_struct('place', -abs(r.__values), 'feature', r.`0`, 'value', r.`1`,
+                                  'contribution', r.__values))),
+                r -> named_struct('feature', r.feature, 'value', r.value,
+                                  'contribution', r.contribution)) AS contributions""")
 
     def global_importance(self, pool: DataFrame, id_col: str, sample: int, seed: int) -> DataFrame:
         """Mean absolute contribution per feature over a seeded sample, highest first."""
