@@ -7,6 +7,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from grainmart.functions.sqltext import ident
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -17,7 +19,7 @@ class Measure:
     zero_default: bool = False
 
     def column(self) -> Column:
-        return F.expr(self.sql).alias(self.name)
+        return F.expr(f"{self.sql} AS {ident(self.name)}")
 
     def or_zero(self) -> "Measure":
         return replace(self, zero_default=True)

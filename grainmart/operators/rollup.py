@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from grainmart.functions.measures import Measure
 from grainmart.functions.scalar import typed_null
+from grainmart.functions.sqltext import ident
 
 
 @dataclass(frozen=True)
@@ -42,17 +43,18 @@ def feature_mart(spine: DataFrame, sources: Sequence[tuple[Rollup, DataFrame]],
     key and hash partitioned by it, so the joins reuse that partitioning and the spine's rows
     are neither lost nor multiplied.
     """
-    joined, projection = spine, [F.col(c) for c in spine.columns]
+    joined, projection = spine, [ident(c) for c in spine.columns]
     for rollup, rolled in sources:
         marker = f"__present_{rollup.measures[0].name}"
-        side = rolled.select(key, *rollup.names, F.lit(True).alias(marker))
+        side = rolled.selectExpr(
+            ident(key), *[ident(n) for n in rollup.names], f"true AS {ident(marker)}")
         joined = joined.join(side, key, "left")
         for m in rollup.measures:
-            value = F.col(m.name)
-            projection.append(F.coalesce(value, F.lit(0)).alias(m.name) if m.zero_default else value)
+            name = ident(m.name)
+            projection.append(f"coalesce({name}, 0) AS {name}" if m.zero_default else name)
         if rollup.presence_flag:
-            projection.append(F.coalesce(F.col(marker), F.lit(False)).alias(rollup.presence_flag))
-    return joined.select(*projection)
+            projection.append(f"coalesce({ident(marker)}, false) AS {ident(rollup.presence_flag)}")
+    return joined.selectExpr(*projection)
 
 
 def union_pools(

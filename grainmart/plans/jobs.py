@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from grainmart.config import Settings
 from grainmart.operators import profile
 from grainmart.operators.explain import Explainer, top_drivers
-from grainmart.operators.features import capture_levels, conform_levels, feature_columns, split_types
+from grainmart.operators.features import capture_levels, feature_columns, split_types
 from grainmart.operators.metrics import (
     champion, compare_scores, cv_summary, metrics_long, rank_metrics, reliability_comparison,
 )
-from grainmart.operators.quality import gate
+from grainmart.operators.quality import Contract, gate
 from grainmart.operators.rollup import split_pools, union_all
 from grainmart.operators.score import lookup_requests, require_present, score_records
 from grainmart.operators.split import stratified_holdout
@@ -112,10 +112,8 @@ class Artefacts:
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Rows with their calibrated probability; levels unknown to training count as missing."""
-        conformed = conform_levels(rows, self.metadata["levels"]) if MODELS[
-            self.metadata["champion"]].is_tree else rows
         return calibrated(
-            with_probability(self.model, conformed, "__uncalibrated"), self.calibrator,
+            with_probability(self.model, rows, "__uncalibrated"), self.calibrator,
             "__uncalibrated").drop("__uncalibrated")
 
     def explainer(self) -> Explainer:
@@ -129,7 +127,9 @@ def train(
 ) -> dict:
     """Compare models by cross-validation, refit the champion, calibrate it, record the run."""
     spark, run_id = mart.sparkSession, run_id or uuid.uuid4().hex
-    gate(CONTRACT.report(mart) if settings.id_col == KEY else _minimal_contract(mart, settings))
+    contract = CONTRACT if settings.id_col == KEY else Contract(
+        settings.id_col, settings.label_col, settings.split_col, ())
+    gate(contract.report(mart))
     pool, _ = split_pools(mart, settings.split_col)
     features = feature_set(mart, settings)
 
@@ -186,12 +186,6 @@ def train(
             "holdout_calibrated": metrics["holdout_calibrated"]}
 
 
-def _minimal_contract(mart: DataFrame, settings: Settings) -> DataFrame:
-    from grainmart.operators.quality import Contract
-
-    return Contract(settings.id_col, settings.label_col, settings.split_col, ()).report(mart)
-
-
 def score_pool(mart: DataFrame, settings: Settings, path: str | None = None) -> DataFrame:
     """Calibrated probability of every row of the scoring pool; also a CSV when given a path."""
     _, pool = split_pools(mart, settings.split_col)
