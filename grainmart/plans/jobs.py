@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from grainmart.config import Settings
 from grainmart.operators import profile
-from grainmart.operators.explain import Explainer, top_drivers
+from grainmart.operators.explain import Explainer, explainable, read_leaves, top_drivers
 from grainmart.operators.features import capture_levels, feature_columns, split_types
 from grainmart.operators.metrics import (
     champion, compare_scores, cv_summary, metrics_long, rank_metrics, reliability_comparison,
@@ -117,8 +117,9 @@ class Artefacts:
             "__uncalibrated").drop("__uncalibrated")
 
     def explainer(self) -> Explainer:
-        spark = SparkSession.active()
-        return Explainer.load(spark, self.model_path, self.slot_features, self.metadata["champion"])
+        explainable(self.metadata["champion"])
+        leaves = read_leaves(SparkSession.active(), self.model_path)
+        return Explainer(self.model, leaves, self.slot_features)
 
 
 def train(
