@@ -11,7 +11,7 @@ from grainmart.operators.quality import QualityError, gate
 from grainmart.plans import jobs
 from grainmart.plans.applicant_mart import CONTRACT, MART
 from grainmart.plans.applicant_tables import RAW_TABLES
-from grainmart.sources.catalog import IngestionError, ingest
+from grainmart.sources.catalog import AbsentInputs, RejectedTable, ingest
 from grainmart.sources.warehouse import Warehouse, load_mart
 
 
@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
                 print(row)
         else:
             jobs.importance(mart, settings, f"{settings.reports_dir}/importance").show(50, False)
-    except (IngestionError, QualityError, ValueError, NotImplementedError) as error:
+    except (AbsentInputs, RejectedTable, QualityError, ValueError, NotImplementedError) as error:
         print(error, file=sys.stderr)
         return 1
     return 0

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -58,17 +58,44 @@ SESSION_DEFAULTS = {
 
 
 def build_session(app_name: str = "grainmart", **conf: str) -> SparkSession:
+    shared = {"spark.checkpoint.dir": f"{Settings().warehouse_dir}/_checkpoints"}
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SESSION_DEFAULTS, **conf}.items():
+    for key, value in {**SESSION_DEFAULTS, **shared, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a temporary one only where none is named."""
+    """The shared checkpoint folder of the session; where none is named, one in its warehouse.
+
+    Both are places that all executors share. A folder of one machine is never made up.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named is None:
-        named = tempfile.mkdtemp(prefix="grainmart-checkpoint-")
+    if not named:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise ValueError("name a shared folder in spark.checkpoint.dir or spark.sql.warehouse.dir")
+        named = f"{warehouse.rstrip('/')}/_checkpoints"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
+
+
+_SCRATCH: set[str] = set()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder of intermediate tables, removed when the driver's process ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/grainmart-{spark.sparkContext.applicationId}"
+    if path not in _SCRATCH:
+        _SCRATCH.add(path)
+        atexit.register(_remove, spark.sparkContext._jvm, path)
+    return path
+
+
+def _remove(jvm, path: str) -> None:
+    try:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone already; the folder then stays behind
+        pass

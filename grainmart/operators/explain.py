@@ -168,7 +168,7 @@ class Explainer:
         return prepared.select(
             *rows.columns, udf(vector_to_array(FEATURES_COL)).alias("__values"))
 
-    def explain(self, rows: DataFrame, id_col: str) -> DataFrame:
+    def explain(self, rows: DataFrame, id_col: str, *keep: str) -> DataFrame:
         """(id, base value, predicted log-odds, contributions by falling magnitude)."""
         names = ", ".join(literal(f) for f in self.features)
         shown = ", ".join(f"CAST({ident(f)} AS STRING)" for f in self.features)
@@ -182,7 +182,7 @@ class Explainer:
                 r -> named_struct('place', -abs(r.__values), 'feature', r.`0`, 'value', r.`1`,
                                   'contribution', r.__values))),
                 r -> named_struct('feature', r.feature, 'value', r.value,
-                                  'contribution', r.contribution)) AS contributions""")
+                                  'contribution', r.contribution)) AS contributions""", *map(ident, keep))
 
     def global_importance(self, pool: DataFrame, id_col: str, sample: int, seed: int) -> DataFrame:
         """Mean absolute contribution per feature over a seeded sample, highest first."""

@@ -18,11 +18,13 @@ def lookup(mart: DataFrame, id_col: str, ids: Sequence) -> DataFrame:
 def lookup_requests(mart: DataFrame, requests: DataFrame, id_col: str) -> DataFrame:
     """One row per requested id with its mart columns and whether it was found.
 
-    Requests may be many: repeated ids are merged and Spark picks the join from the real sizes.
+    Requests may be many: repeated ids are merged and Spark picks the joins from the real sizes.
+    A semi join comes first, so that few requests can be broadcast to the mart instead of
+    shuffling it; the left join then meets only the rows found.
     """
     wanted = requests.select(id_col).distinct()
-    return wanted.join(mart.withColumn("found", F.lit(True)), id_col, "left").withColumn(
-        "found", F.coalesce("found", F.lit(False)))
+    found = mart.join(wanted, id_col, "left_semi").withColumn("found", F.lit(True))
+    return wanted.join(found, id_col, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def absent_ids(mart: DataFrame, requests: DataFrame, id_col: str) -> DataFrame:
@@ -39,10 +41,12 @@ def require_present(mart: DataFrame, id_col: str, ids: Sequence) -> DataFrame:
     return rows
 
 
-def score_records(scored: DataFrame, id_col: str, split_col: str, label_col: str) -> DataFrame:
+def score_records(
+    scored: DataFrame, id_col: str, split_col: str, label_col: str, *keep: str
+) -> DataFrame:
     """Id, split flag, nullable actual label, probability, risk tier and outcome text."""
     return scored.select(
         id_col, split_col, F.col(label_col).cast("int").alias("actual_target"), "probability",
         risk_tier("probability").alias("risk_tier"),
-        outcome_label(label_col).alias("actual_outcome"),
+        outcome_label(label_col).alias("actual_outcome"), *keep,
     )

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainmart.config import Settings, ensure_checkpoint_dir
@@ -103,39 +103,47 @@ def _patient_best(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
+def first_rounds(model: GBTClassificationModel, keep: int) -> GBTClassificationModel:
+    """The model after its first ``keep`` rounds: boosting is sequential, so these are the trees
+    that a fit of ``keep`` rounds would have grown."""
+    fitted = model._java_obj
+    gateway = SparkSession.active().sparkContext._gateway
+    trees = gateway.new_array(
+        gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
+    weights = gateway.new_array(gateway.jvm.double, keep)
+    for i in range(keep):
+        trees[i], weights[i] = fitted.trees()[i], float(fitted.treeWeights()[i])
+    cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        fitted.uid(), trees, weights, fitted.numFeatures(), fitted.numClasses())
+    fitted.copyValues(cut, gateway.jvm.org.apache.spark.ml.param.ParamMap.empty())
+    return GBTClassificationModel(cut)
+
+
 def _fit_boosted(
     spec: ModelSpec, rows: DataFrame, prep: Preparation, settings: Settings
 ) -> GBTClassificationModel:
     """Boost until an inner validation slice has not improved for ``patience`` rounds.
 
     The slice comes from the rows given, never from the rows scored later. Rounds are tried in
-    doubling budgets, so a model that stops early never pays for the full number of rounds.
+    doubling budgets, so a model that stops early never pays for the full number of rounds. Only
+    the prepared vectors are cached.
     """
     inner = stratified_holdout(
-        rows, settings.id_col, LABEL, settings.inner_validation_share, settings.seed, name="__valid"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+        rows, settings.id_col, LABEL, settings.inner_validation_share, settings.seed, name="__valid")
+    weight = class_weight(inner.filter(~F.col("__valid")), LABEL, balanced=False)
+    prepared = prep.transform(inner.withColumn(WEIGHT, weight)).select(
+        FEATURES_COL, LABEL, WEIGHT, "__valid").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fit_rows = inner.filter(~F.col("__valid"))
-        weighted = inner.withColumn(WEIGHT, class_weight(fit_rows, LABEL, balanced=False))
-        prepared = prep.transform(weighted).select(
-            FEATURES_COL, LABEL, WEIGHT, "__valid").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            fit_on, judge_on = prepared.filter(~F.col("__valid")), prepared.filter("__valid")
-            budget = min(settings.max_rounds, 2 * settings.patience)
-            while True:
-                model = spec.build(settings, budget, prep.max_categories).fit(fit_on)
-                keep, stopped = _patient_best(
-                    model.evaluateEachIteration(judge_on), settings.patience)
-                if stopped or budget >= settings.max_rounds:
-                    break
-                budget = min(settings.max_rounds, 2 * budget)
-            if keep < budget:
-                model = spec.build(settings, keep, prep.max_categories).fit(fit_on)
-            return model
-        finally:
-            prepared.unpersist()
+        fit_on, judge_on = prepared.filter(~F.col("__valid")), prepared.filter("__valid")
+        budget = min(settings.max_rounds, 2 * settings.patience)
+        while True:
+            model = spec.build(settings, budget, prep.max_categories).fit(fit_on)
+            keep, stopped = _patient_best(model.evaluateEachIteration(judge_on), settings.patience)
+            if stopped or budget >= settings.max_rounds:
+                return first_rounds(model, keep) if keep < budget else model
+            budget = min(settings.max_rounds, 2 * budget)
     finally:
-        inner.unpersist()
+        prepared.unpersist()
 
 
 def fit_model(spec: ModelSpec, rows: DataFrame, features: FeatureSet, settings: Settings) -> Fitted:

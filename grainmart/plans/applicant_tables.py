@@ -6,11 +6,10 @@ from pyspark.sql import types as T
 
 from grainmart.sources.catalog import TableSpec
 
-_LONG, _TEXT = T.LongType(), T.StringType()
+_LONG, _TEXT, _DOUBLE = T.LongType(), T.StringType(), T.DoubleType()
 
-# Name patterns of raw columns that are text or whole numbers. Every other column
-# holds amounts, rates, scores or offsets and is read as double, which keeps whole and fractional
-# spellings alike.
+# Name patterns of raw columns that are text, whole numbers, and amounts, rates, scores
+# or offsets. The last are read as double, which keeps whole and fractional spellings alike.
 _TYPES = (
     ("NAME_.*|CODE_.*|FLAG_OWN_(CAR|REALTY)|OCCUPATION_TYPE|ORGANIZATION_TYPE|WEEKDAY_.*", _TEXT),
     ("WALLSMATERIAL_MODE|HOUSETYPE_MODE|FONDKAPREMONT_MODE|EMERGENCYSTATE_MODE", _TEXT),
@@ -20,6 +19,8 @@ _TYPES = (
     ("CNT_CHILDREN|HOUR_APPR_PROCESS_START|REGION_RATING_.*|REG_.*|LIVE_.*_NOT_.*", _LONG),
     ("FLAG_.*|NFLAG_LAST_APPL_IN_DAY|CREDIT_DAY_OVERDUE|CNT_CREDIT_PROLONG", _LONG),
     ("DAYS_BIRTH|DAYS_ID_PUBLISH|DAYS_CREDIT|DAYS_CREDIT_UPDATE|DAYS_DECISION", _LONG),
+    ("TARGET|AMT_.*|RATE_.*|CNT_.*|DAYS_.*|NUM_.*|NFLAG_.*|EXT_SOURCE_.*|(OBS|DEF)_.*", _DOUBLE),
+    ("OWN_CAR_AGE|REGION_POPULATION_RELATIVE|TOTALAREA_MODE|.*_(AVG|MODE|MEDI)", _DOUBLE),
 )
 
 

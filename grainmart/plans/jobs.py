@@ -20,7 +20,7 @@ from grainmart.operators.metrics import (
     champion, compare_scores, cv_summary, metrics_long, rank_metrics, reliability_comparison,
 )
 from grainmart.operators.quality import Contract, gate
-from grainmart.operators.rollup import split_pools, union_all
+from grainmart.operators.rollup import split_pools
 from grainmart.operators.score import lookup_requests, require_present, score_records
 from grainmart.operators.split import stratified_holdout
 from grainmart.operators.train import (
@@ -202,14 +202,24 @@ def score_pool(mart: DataFrame, settings: Settings, path: str | None = None) ->
 def score_requests(mart: DataFrame, requests: DataFrame, settings: Settings) -> DataFrame:
     """A score record per requested id; ids that are not in the mart come back with found = false."""
     answered = lookup_requests(mart, requests, settings.id_col)
-    scored = Artefacts.load(mart.sparkSession, settings).score(answered.filter("found"))
-    absent = answered.filter(~F.col("found")).select(settings.id_col)
-    records = score_records(scored, settings.id_col, settings.split_col, settings.label_col)
-    return union_all([records.withColumn("found", F.lit(True)), absent.select(
-        settings.id_col, *[
-            F.lit(None).cast(records.schema[c].dataType).alias(c)
-            for c in records.columns if c != settings.id_col],
-        F.lit(False).alias("found"))])
+    # Absent ids are scored along as rows without values and blanked after, so the join runs once.
+    scored = Artefacts.load(mart.sparkSession, settings).score(answered)
+    records = score_records(scored, settings.id_col, settings.split_col, settings.label_col, "found")
+    return records.select(settings.id_col, *[
+        F.when(F.col("found"), F.col(c)).alias(c)
+        for c in records.columns if c not in (settings.id_col, "found")], "found")
+
+
+def explain_requests(mart: DataFrame, requests: DataFrame, settings: Settings, k: int | None = None) -> DataFrame:
+    """Contributions per requested id of a frame; ids that are not in the mart have found = false."""
+    answered = lookup_requests(mart, requests, settings.id_col)
+    explained = Artefacts.load(mart.sparkSession, settings).explainer().explain(
+        answered, settings.id_col, "found")
+    if k is not None:
+        explained = explained.withColumn("contributions", top_drivers("contributions", k))
+    return explained.select(settings.id_col, *[
+        F.when(F.col("found"), F.col(c)).alias(c)
+        for c in explained.columns if c not in (settings.id_col, "found")], "found")
 
 
 def explain_ids(mart: DataFrame, ids: list, settings: Settings, k: int | None = None) -> DataFrame:

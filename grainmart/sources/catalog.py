@@ -1,7 +1,8 @@
-"""Source catalogue and checked CSV ingestion.
+"""Source catalogue and checked CSV loading.
 
-A load fails loudly: a value that does not parse as its declared type, a missing column, an
-empty table, a null key or a duplicate key each raise their own message.
+Declared columns are read with their types in FAILFAST mode, so a value that does not parse stops
+the load; columns nobody declared get the type that fits the whole file. What a table must hold is
+checked by the rules of the quality operators, and one report names every fault of a table.
 """
 
 from __future__ import annotations
@@ -13,24 +14,38 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainmart.operators import quality
+from grainmart.operators.quality import QualityError
+from grainmart.operators.rollup import union_all
 from grainmart.sources.warehouse import Warehouse
 
 logger = logging.getLogger(__name__)
 
 
-class IngestionError(RuntimeError):
-    """An input is missing, empty, or fails a schema, null or key check."""
+class AbsentInputs(RuntimeError):
+    """Files of the catalogue that are not there; ``files`` lists all of them."""
+
+    def __init__(self, directory: str, files: Sequence[str]):
+        self.files = list(files)
+        super().__init__(f"{directory} lacks {', '.join(files)}")
+
+
+class RejectedTable(RuntimeError):
+    """A loaded table broke rules; ``failed`` lists (rule, column, failures) of all of them."""
+
+    def __init__(self, table: str, error: QualityError):
+        self.failed = error.failed
+        super().__init__(f"{table}: {error}")
 
 
 @dataclass(frozen=True)
 class TableSpec:
     """One raw table: file name, columns that must be filled, and the key that must be unique.
 
-    ``types`` maps name patterns to types, first match wins; a column that matches none is read
-    as double. ``bucket_key`` is the column later joins and groupings use.
+    ``types`` maps name patterns to types, first match wins; the type of a column that matches
+    none is inferred. ``bucket_key`` is the column later joins and groupings use.
     """
 
     name: str
@@ -41,14 +56,11 @@ class TableSpec:
     bucket_key: str | None = None
     description: str = ""
 
-    def schema_for(self, header: Sequence[str]) -> T.StructType:
-        return T.StructType([T.StructField(c, self._type_of(c)) for c in header])
-
-    def _type_of(self, column: str) -> T.DataType:
+    def declared(self, column: str) -> T.DataType | None:
         for pattern, data_type in self.types:
             if re.fullmatch(pattern, column):
                 return data_type
-        return T.DoubleType()
+        return None
 
 
 def _join(directory: str, name: str) -> str:
@@ -72,51 +84,45 @@ def missing_inputs(spark: SparkSession, directory: str, specs: Sequence[TableSpe
 
 
 def read_csv(spark: SparkSession, directory: str, spec: TableSpec) -> DataFrame:
-    """The file as typed columns in header order. Only the header line is read up front."""
+    """The file as typed columns in header order.
+
+    Only the header line is read up front, unless a column is undeclared: inferring its type is one
+    more pass over the whole file.
+    """
     path = _join(directory, spec.file_name)
     reader = spark.read.option("header", True).option("escape", '"')
     header = reader.csv(path).columns
-    return reader.schema(spec.schema_for(header)).option("mode", "FAILFAST").csv(path)
+    types = {c: spec.declared(c) for c in header}
+    if None in types.values():
+        inferred = {f.name: f.dataType for f in reader.option("inferSchema", True).csv(path).schema.fields}
+        types = {c: t or inferred[c] for c, t in types.items()}
+    schema = T.StructType([T.StructField(c, types[c]) for c in header])
+    return reader.option("inferSchema", False).schema(schema).option("mode", "FAILFAST").csv(path)
 
 
-def check_columns(df: DataFrame, spec: TableSpec) -> None:
-    absent = [c for c in spec.required if c not in set(df.columns)]
-    if absent:
-        raise IngestionError(f"{spec.name} is missing expected column(s): {absent}")
-
-
-def check_rows(df: DataFrame, spec: TableSpec) -> int:
-    """Row count and null counts of all required columns in one pass, then key uniqueness."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in spec.required],
-    ).first()
-    if counts["n_rows"] == 0:
-        raise IngestionError(f"{spec.name} loaded 0 rows from {spec.file_name}: empty or truncated?")
-    for c in spec.required:
-        if counts[f"null_{c}"]:
-            raise IngestionError(
-                f"{spec.name}.{c} has {counts[f'null_{c}']} null value(s), expected none"
-            )
-    if spec.unique_key:
-        duplicates = df.groupBy(*spec.unique_key).count().filter(F.col("count") > 1).count()
-        if duplicates:
-            raise IngestionError(
-                f"{spec.name} has {duplicates} duplicate value(s) on key "
-                f"({', '.join(spec.unique_key)}), expected unique"
-            )
-    return counts["n_rows"]
+def load_report(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every rule of the spec on a loaded table: columns, rows, filled columns, unique key."""
+    present = [c for c in spec.required if c in df.columns]
+    parts = [quality.check_schema(df, spec.required), quality.check_not_empty(df)]
+    if present:
+        parts.append(quality.check_rows(df, [quality.not_null(c) for c in present], present[0]))
+    if spec.unique_key and set(spec.unique_key) <= set(df.columns):
+        parts.append(quality.check_unique(df, spec.unique_key))
+    return union_all(parts)
 
 
 def load_table(spark: SparkSession, directory: str, spec: TableSpec, warehouse: Warehouse) -> int:
-    """Copy one CSV into the raw layer and check the copy; returns its row count.
+    """Copy one CSV into the raw layer and gate the copy; returns its row count.
 
-    The checks read the columnar copy, so they touch the key columns only.
+    The rules read the columnar copy, so they touch the key columns only.
     """
-    df = read_csv(spark, directory, spec)
-    check_columns(df, spec)
-    copy = warehouse.replace(df, "raw", spec.name, bucket_key=spec.bucket_key)
-    return check_rows(copy, spec)
+    copy = warehouse.replace(
+        read_csv(spark, directory, spec), "raw", spec.name, bucket_key=spec.bucket_key)
+    try:
+        quality.gate(load_report(copy, spec))
+    except QualityError as error:
+        raise RejectedTable(spec.name, error) from error
+    return copy.count()
 
 
 def ingest(
@@ -125,7 +131,7 @@ def ingest(
     """Load every table in catalogue order; nothing is loaded while an input is missing."""
     absent = missing_inputs(spark, directory, specs)
     if absent:
-        raise IngestionError(f"missing files in {directory}: {', '.join(absent)}")
+        raise AbsentInputs(directory, absent)
     warehouse.create_namespaces(("raw",))
     rows = {}
     for spec in specs:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainmart.config import Settings, ensure_checkpoint_dir
+from grainmart.config import Settings, scratch_dir
 from grainmart.operators import profile
 from grainmart.operators.features import (
     capture_levels, conform_levels, feature_columns, level_counts, most_frequent, numeric_fill,
@@ -51,7 +51,7 @@ def settled(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """The frame as a table in the shared checkpoint folder, for operators that pass over it
     more than once."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -147,14 +147,23 @@ def mart_customer_features(spark, sf_dir):
 
 def document_pool(spark, sf_dir):
     """Documents as one pool: labelled ones train, the others are to be scored."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("target"))
-    return union_pools(documents.join(labels, "doc_id"),
-                       documents.join(labels, "doc_id", "left_anti"), "target", "is_train")
+    return labelled(spark, sf_dir, table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars"))
+
+
+def labelled(spark, sf_dir, documents):
+    """Documents with their split flag and label: one scan of them, one join."""
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("quality").cast("double").alias("target"), F.lit(True).alias("is_train"))
+    return documents.join(labels, "doc_id", "left").withColumn(
+        "is_train", F.coalesce("is_train", F.lit(False)))
 
 
 def pool_union_by_name(spark, sf_dir):
-    return document_pool(spark, sf_dir)
+    """Two tables of different columns, one labelled and one not, as one pool."""
+    pool = document_pool(spark, sf_dir)
+    return union_pools(pool.filter("is_train").drop("is_train"),
+                       pool.filter("NOT is_train").drop("is_train", "target"), "target", "is_train")
 
 
 def scoring_pool(spark, sf_dir):

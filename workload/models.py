@@ -11,14 +11,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmart.config import Settings, ensure_checkpoint_dir
+from grainmart.config import Settings, scratch_dir
 from grainmart.operators.explain import top_drivers
 from grainmart.operators.metrics import rank_metrics
 from grainmart.operators.rollup import split_pools
 from grainmart.operators.train import MODELS, out_of_fold_scores
 from grainmart.plans import jobs
 from grainmart.sources.warehouse import Warehouse, load_mart
-from workload.commerce import document_pool, table
+from workload.commerce import labelled, table
 
 TREES = tuple(name for name, spec in MODELS.items() if spec.is_tree)
 _SESSIONS: dict[tuple[str, str], Settings] = {}
@@ -32,19 +32,18 @@ def settings_in(folder: str) -> Settings:
 
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: shape of its whole text, language, source and label."""
-    text = table(spark, sf_dir, "documents").selectExpr(
-        "doc_id", "size(split(text, '\\\\s+')) AS n_words", "regexp_count(text, '\\n') AS n_lines",
+    documents = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "lang", "source", "n_chars", "size(split(text, '\\\\s+')) AS n_words", "regexp_count(text, '\\n') AS n_lines",
         "nullif(regexp_count(text, '[0-9]'), 0) AS n_digits",
         "nullif(regexp_count(text, '[^\\\\x00-\\\\x7f]'), 0) AS n_accented",
         "regexp_count(text, '[.!?]') / greatest(n_chars, 1) AS stop_share",
         "regexp_count(text, '[A-Z]') / greatest(n_chars, 1) AS capital_share",
         "text LIKE '%@%' AS has_at_sign")
-    pool = document_pool(spark, sf_dir).withColumn("target", 1 - F.col("target"))
-    return pool.join(text, "doc_id")
+    return labelled(spark, sf_dir, documents).withColumn("target", 1 - F.col("target"))
 
 
 def _prepare(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Settings]:
-    folder = f"{ensure_checkpoint_dir(spark)}/documents-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/documents-{uuid.uuid4().hex}"
     settings = settings_in(folder)
     warehouse = Warehouse(spark, settings.warehouse_dir)
     warehouse.replace(document_features(spark, sf_dir), "marts", "documents",
