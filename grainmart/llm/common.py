@@ -9,21 +9,28 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmart.config import ensure_checkpoint_dir
+from grainmart.config import scratch_dir
 
 SPACE_CLASS = r"[ \t-\r]"  # \x20 and \x09-\x0D, the white space of all contracts
 WORD_CLASS = r"[^ \t-\r]+"
 BLOCK_BYTES = 1 << 22
+FILE_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the session's shared checkpoint folder: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df as a Parquet table in the session's shared checkpoint folder: cuts lineage, survives lost executors.
+
+    If about how many narrow rows there are is known, the last stage has a task per FILE_ROWS of them,
+    not a task and a file for each of many shuffle partitions with next to nothing.
+    """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(4, -(-rows // FILE_ROWS)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -18,17 +18,17 @@ def connected_components(edges: DataFrame, name: str = "components", rounds: int
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .where("a > b").distinct(), f"{name}-edges")
-    last = None
+    n, last = now.count(), None
     for turn in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Minima are written, so that each join shuffles both sides itself and a hub's side can be split.
-        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}-least")
+        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}-least", n)
         large = written(both.where("b > a").join(least, "a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), f"{name}-large")
-        small_least = written(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-least")
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), f"{name}-large", n)
+        small_least = written(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-least", n)
         small = large.join(small_least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .unionByName(small_least.select("a", F.col("m").alias("b")))
-        now = written(small.where("a > b").distinct(), f"{name}-{turn}")
+        now = written(small.where("a > b").distinct(), f"{name}-{turn}", n)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == last:
             break

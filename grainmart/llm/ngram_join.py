@@ -337,13 +337,14 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sketch = described.where("slice IS NOT NULL").select("slice", "counts").repartition("slice").mapInArrow(
         _added, "slice int, counts binary")
     facts = described.where("slice IS NULL").select("doc_id", "n_shingles", "set_key")
+    n = facts.count()
     # The sketch is 2 ** SKETCH_BITS counters of two bytes at any input.
     order = _broadcast_bytes(sketch, "slice", "counts", SKETCH_SLICES, 2 << SKETCH_BITS >> int(math.log2(SKETCH_SLICES)))
 
     # Each of the next two reads the texts again: shingles are cheaper to make than to store.
     edges = texts.mapInArrow(_prefixes(order), "key bigint, rep bigint, low bigint, high bigint") \
         .repartition("key").sortWithinPartitions("key").mapInArrow(_chained, "a bigint, b bigint")
-    groups = written(connected_components(edges, "ngram-candidates"), "ngram-groups")
+    groups = written(connected_components(edges, "ngram-candidates"), "ngram-groups", n)
 
     slot = F.col("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     member = groups.groupBy(F.shiftright(slot, 15).cast("int").alias("slice")).agg(
@@ -355,11 +356,11 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Sizes that are alike lie in one band or in neighbours: the step is above 1.25.
     meta = written(groups.withColumnRenamed("node", "set_key").join(
         facts.select("set_key", "n_shingles").distinct(), "set_key")
-        .withColumn("band", F.floor(F.log("n_shingles") / math.log(1.26)).cast("int")), "ngram-meta")
+        .withColumn("band", F.floor(F.log("n_shingles") / math.log(1.26)).cast("int")), "ngram-meta", n)
     bands = meta.groupBy("component", "band").agg(F.count(F.lit(1)).alias("n"))
     total = bands.groupBy("component").agg(F.sum("n").alias("total"))
     counts = written(bands.join(total, "component").where(F.col("total") > BLOCK_SETS).select(
-        "component", "band", F.ceil(F.col("n") / BLOCK_SETS).cast("int").alias("blocks")), "ngram-bands")
+        "component", "band", F.ceil(F.col("n") / BLOCK_SETS).cast("int").alias("blocks")), "ngram-bands", n)
 
     def beside(step: int, name: str) -> DataFrame:
         return counts.select("component", (F.col("band") + step).alias("band"), F.col("blocks").alias(name))
@@ -390,10 +391,10 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("unit", "set_key", "side", "shingles").repartition("unit").sortWithinPartitions("unit") \
         .mapInArrow(_linked, "a bigint, b bigint")
     classes = written(connected_components(links, "ngram-links").withColumnsRenamed(
-        {"node": "set_key", "component": "class"}), "ngram-classes")
+        {"node": "set_key", "component": "class"}), "ngram-classes", n)
 
-    classed = written(facts.join(classes, "set_key", "left").withColumn("class", F.coalesce("class", "set_key")), "ngram-classed")
-    least = written(classed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "ngram-least")
+    classed = written(facts.join(classes, "set_key", "left").withColumn("class", F.coalesce("class", "set_key")), "ngram-classed", n)
+    least = written(classed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "ngram-least", n)
     return classed.join(least, "class", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
         "set_key")
