@@ -13,7 +13,7 @@ from grainmart.config import scratch_dir
 
 SPACE_CLASS = r"[ \t-\r]"  # \x20 and \x09-\x0D, the white space of all contracts
 WORD_CLASS = r"[^ \t-\r]+"
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20  # of text worked on at once: numpy holds some fifty times that
 FILE_ROWS = 100_000
 
 

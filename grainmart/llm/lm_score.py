@@ -27,7 +27,7 @@ DEPTH = 5  # context bytes; DEPTH + 1 bytes of a gram fit a long
 TOP = 3  # levels up to here are summed per decision
 HEAD_GRAMS = 1 << 21  # a gram is frequent if it is one in so many or more: so many at most
 HEAD_WORDS = 1 << 19
-HELD = 1 << 22  # grams or words a task holds before it passes them on
+HELD = 1 << 21  # grams or words a task holds before it passes them on
 CHUNK = 1 << 18  # grams whose trees are worked on at once, cut between contexts
 GRAM, WORD, DOC = 0, 1, 2
 END_WORD = int(mix(np.array([1], np.uint64))[0])
@@ -79,8 +79,8 @@ class _Counts:
         counts = np.concatenate([c for _, c in self.parts])
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        self.parts = [(keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0])]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+        self.parts = [(keys[first], np.add.reduceat(counts, first) if len(first) else counts)]
         self.held = len(first)
         return self.parts[0]
 
@@ -271,6 +271,11 @@ def _lookup(table: DataFrame) -> Lookup:
     return Lookup(got.column("key").to_numpy().view(np.uint64), got.column("value").to_numpy())
 
 
+def _sums(group: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """Sum of value by group; floats even where nothing is summed."""
+    return np.bincount(group, value, n).astype(float)
+
+
 def _scored(depth: int, frequent_grams, frequent_words, n_train: int, n_distinct: int):
     denominator = n_train + 0.1 * (n_distinct + 1)
     schema = ["row", "kind", "key", "n", "tokens", "known", "base", "score"]
@@ -295,12 +300,12 @@ def _scored(depth: int, frequent_grams, frequent_words, n_train: int, n_distinct
             streams = [stream(t) for t in texts]
             code, text = grams(streams, depth)
             value, found = gram_table.find(code)
-            score = np.bincount(text, value, len(texts))
+            score = _sums(text, value, len(texts))
             yield rare(GRAM, numbers, text[~found], code[~found])
             token, text = _tokens(streams)
             count, found = word_table.find(token)
-            base = np.bincount(text[found], np.log10((count[found] + 0.1) / denominator), len(texts))
-            known = np.bincount(text[found], count[found] > 0, len(texts)).astype(float)
+            base = _sums(text[found], np.log10((count[found] + 0.1) / denominator), len(texts))
+            known = _sums(text[found], count[found] > 0, len(texts))
             yield rare(WORD, numbers, text[~found], token[~found])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(numbers), pa.array(np.full(len(texts), DOC, np.int8)), ids,
