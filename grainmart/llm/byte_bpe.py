@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import base64
 import codecs
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +25,7 @@ from grainmart.llm.common import blocks, utf8
 
 STATES = 1 << 17  # states kept before all are forgotten
 PAIRS = 1 << 19  # pairs of tokens kept
-PIECES = 1 << 19  # pieces of up to PIECE_BYTES bytes whose ids are remembered
+PIECES = 1 << 18  # pieces of up to PIECE_BYTES bytes whose ids are remembered
 PIECE_BYTES = 64
 CHUNK_IDS = 4096
 NEVER = 1 << 60
@@ -40,6 +43,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
         self.byte_ids = [ranks.get(bytes([b]), -1) for b in range(256)]
         self.trie: list[dict[int, int]] = [{}]
         self.ends: list[int] = [-1]
@@ -135,12 +139,21 @@ class Transducer:
             return [whole]
         if len(self.states) > STATES:
             self.forget()
+        if len(piece) <= 4 * CHUNK_IDS:
+            state, lasts, moves = self.start, [], self.moves
+            for byte in piece:
+                state, last = moves[state].get(byte) or self._move(state, byte)
+                lasts.append(last)
+            return self._walk(lasts, len(piece))[0]
+        return self._encode_long(piece)
+
+    def _encode_long(self, piece: bytes) -> list[int]:
         state, lasts, out, sent = self.start, [], [], 0
         for at, byte in enumerate(piece, 1):
             move = self.moves[state].get(byte) or self._move(state, byte)
             state = move[0]
             lasts.append(move[1])
-            if at - sent >= 4 * CHUNK_IDS:  # a very long piece: emit what all open tokens agree on
+            if at - sent >= 4 * CHUNK_IDS:  # emit what all open tokens agree on
                 ready, until = self._settled(lasts, at, sent, state)
                 out += ready
                 del lasts[:until - sent]
@@ -153,10 +166,10 @@ class Transducer:
 
     def _walk(self, lasts: list[int], end: int) -> tuple[list[int], list[int]]:
         """The tokens of the first end bytes after what is sent, and where each begins."""
-        tokens, begins = [], []
+        tokens, begins, length = [], [], self.length
         while end > 0:
             token = lasts[end - 1]
-            end -= len(self.bytes_of[token])
+            end -= length[token]
             tokens.append(token)
             begins.append(end)
         return tokens[::-1], begins[::-1]
@@ -178,23 +191,29 @@ class Encoder:
     def __init__(self, ranks_path: str, pattern: str):
         self.pattern = regex.compile(pattern)
         self.transducer = Transducer(read_ranks(ranks_path))
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def piece(self, piece: str) -> list[int]:
+    def piece(self, piece: str) -> bytes:
+        """The ids of one piece, packed as 32-bit numbers."""
         raw = piece.encode()
-        ids = self.transducer.encode(raw)
+        ids = array("i", self.transducer.encode(raw)).tobytes()
         if len(raw) <= PIECE_BYTES:
             if len(self.known) >= PIECES:
                 self.known.clear()
             self.known[piece] = ids
         return ids
 
+    def packed(self, text: str) -> bytes:
+        """The ids of a text, packed."""
+        matches = self.pattern.findall(text)
+        out = list(map(self.known.get, matches))
+        if None in out:
+            known, piece = self.known, self.piece
+            out = [known.get(m) or piece(m) for m in matches]
+        return b"".join(out)
+
     def encode(self, text: str) -> list[int]:
-        known, piece, out = self.known, self.piece, []
-        for match in self.pattern.findall(text):
-            ids = known.get(match)
-            out += piece(match) if ids is None else ids
-        return out
+        return array("i", self.packed(text)).tolist()
 
 
 class StreamDecoder:
@@ -239,9 +258,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 yield batch
 
         for keys, texts in blocks(seen(batches)):
-            ids = [enc.encode(t.decode("utf-8", "replace")) for t in texts]
+            ids = [enc.packed(t.decode("utf-8", "replace")) for t in texts]
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], kind), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                [pa.array([k[0] for k in keys], kind),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))],
+                names=["doc_id", "ids"])
 
     return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, ids array<int>")
 
@@ -255,13 +277,14 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
         for batch in batches:
             if bytes_of is None:
                 bytes_of = {rank: token for token, rank in read_ranks(ranks_path).items()}
-            out = []
-            for ids in batch.column(1):
-                ids = [] if not ids.is_valid else ids.values.to_numpy(zero_copy_only=False).tolist()
+            column = batch.column(1)
+            ends, out = np.cumsum([0, *(n or 0 for n in pc.list_value_length(column).to_pylist())]), []
+            ids = column.flatten().to_numpy(zero_copy_only=False)
+            for begin, end in zip(ends, ends[1:], strict=False):
                 stream = StreamDecoder(bytes_of)
-                parts = [stream.feed(ids[i:i + CHUNK_IDS])[0] for i in range(0, len(ids), CHUNK_IDS)]
+                out.append(b"".join(stream.feed(ids[i:min(i + CHUNK_IDS, end)].tolist())[0]
+                                    for i in range(begin, end, CHUNK_IDS)))
                 stream.feed([], last=True)
-                out.append(b"".join(parts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "bytes"])
 
     return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, bytes binary")
