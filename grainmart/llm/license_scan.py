@@ -138,7 +138,9 @@ def _found(templates: Templates, shingles: np.ndarray, starts: np.ndarray) -> It
                     for t in (text, text + 1):
                         if t + 1 >= len(starts):
                             continue
-                        low, high = max(begin, int(starts[t])), min(end, int(starts[t + 1]) - SHINGLE + 1)
+                        # The passage may begin a stride before the window or end one after it.
+                        low = max(begin - stride, int(starts[t]))
+                        high = min(end + stride, int(starts[t + 1]) - SHINGLE + 1)
                         if high <= low:
                             continue
                         hit = np.isin(shingles[low:high], templates.sets[i])
