@@ -38,7 +38,7 @@ class Settings:
     patience: int = PATIENCE_ROUNDS
     max_rounds: int = MAX_ROUNDS
     importance_sample: int = IMPORTANCE_SAMPLE
-    parallel_fits: int = 4
+    parallel_fits: int = 8  # independent fits at a time; small data fits on one core each
 
     @property
     def non_features(self) -> tuple[str, str, str]:

@@ -4,6 +4,8 @@ A leaf's share of the score is a product game over the features on its path: a f
 in a coalition keeps the leaf if the row meets the feature's conditions, an absent one keeps it
 with the share of training rows that did. The Shapley values of that game have one vector per
 met/unmet pattern, so each leaf gets a lookup table and a batch of rows needs comparisons only.
+Leaves are packed in arrays by their number of features and broadcast once; tables and patterns
+are made for many leaves in one array operation.
 Base value plus contributions equals the row's log-odds exactly.
 
 Paths are those of path-dependent TreeSHAP (Lundberg et al., Consistent Individualized Feature
@@ -33,6 +35,8 @@ from grainmart.operators.train import MODELS
 # Spark's boosted margin F gives the probability 1 / (1 + exp(-2 F)), so the log-odds are 2 F.
 LOG_ODDS_PER_MARGIN = 2.0
 
+LEAF_CHUNK, ROW_CHUNK = 256, 512  # leaves and rows worked on at once
+
 # Workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -91,45 +95,90 @@ def base_value(leaves: Sequence[Leaf]) -> float:
     return float(sum(leaf.value * np.prod(leaf.share) for leaf in leaves))
 
 
-def _pattern_table(leaf: Leaf) -> np.ndarray:
-    """Shapley values of the leaf's game for each of the 2 ** d met/unmet patterns."""
-    d = len(leaf.features)
-    met = (np.arange(2 ** d)[:, None] >> np.arange(d)) & 1
-    share = np.asarray(leaf.share)
-    table = np.empty((2 ** d, d))
-    for i in range(d):
-        by_size = np.zeros((2 ** d, d))  # summed coalition products over the others, by size
-        by_size[:, 0] = 1.0
-        for j in (j for j in range(d) if j != i):
-            grown = np.zeros_like(by_size)
-            grown[:, 1:] = by_size[:, :-1] * met[:, [j]]
-            by_size = by_size * share[j] + grown
-        weight = np.array([factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)])
-        table[:, i] = leaf.value * (met[:, i] - share[i]) * (by_size @ weight)
-    return table
+@dataclass(frozen=True)
+class Packed:
+    """Leaves with the same number of features as arrays: a row per leaf, a column per feature.
 
+    ``choice`` is the row of ``allowed`` that a categorical condition uses, -1 for a numeric one.
+    """
 
-def _contributions_udf(leaves: Sequence[Leaf], slot_feature: Sequence[int], n_features: int):
-    """Vector column in, per-feature contributions out; slots of one feature are summed."""
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    choice: np.ndarray
+    allowed: np.ndarray
+    share: np.ndarray
+    value: np.ndarray
+
+    def tables(self) -> np.ndarray:
+        """Shapley values of every leaf's game for each of its 2 ** d met/unmet patterns."""
+        n, d = self.share.shape
+        met = ((np.arange(2 ** d)[:, None] >> np.arange(d)) & 1)[None]
+        weight = np.array([factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)])
+        out = np.empty((n, 2 ** d, d))
+        for i in range(d):
+            by_size = np.zeros((n, 2 ** d, d))  # summed coalition products over the others, by size
+            by_size[:, :, 0] = 1.0
+            for j in (j for j in range(d) if j != i):
+                grown = np.zeros_like(by_size)
+                grown[:, :, 1:] = by_size[:, :, :-1] * met[:, :, j, None]
+                by_size = by_size * self.share[:, None, j, None] + grown
+            out[:, :, i] = self.value[:, None] * (met[:, :, i] - self.share[:, None, i]) * (by_size @ weight)
+        return out
+
+    def patterns(self, x: np.ndarray) -> np.ndarray:
+        """For each row of x and leaf, which of the leaf's conditions the row meets, as bits."""
+        value = x[:, self.features]
+        met = (value > self.low) & (value <= self.high)
+        if self.allowed.size:
+            level = np.clip(np.nan_to_num(value), 0, self.allowed.shape[1] - 1).astype(np.int64)
+            met = np.where(self.choice < 0, met, self.allowed[self.choice, level])
+        return (met.astype(np.int64) << np.arange(self.features.shape[1])).sum(axis=2)
+
+
+def pack(leaves: Sequence[Leaf], size: int = LEAF_CHUNK) -> list[Packed]:
+    """Leaves by number of features, in pieces of ``size``; a leaf without features moves nothing."""
+    by_depth: dict[int, list[Leaf]] = {}
+    for leaf in leaves:
+        if leaf.features:
+            by_depth.setdefault(len(leaf.features), []).append(leaf)
+    pieces = []
+    for same in by_depth.values():
+        for part in (same[i:i + size] for i in range(0, len(same), size)):
+            sets = list({a for leaf in part for a in leaf.allowed if a is not None})
+            place = {a: k for k, a in enumerate(sets)}
+            # One more level than any set names, for levels beyond them all.
+            allowed = np.zeros((len(sets), 2 + max([-1, *(max(a, default=-1) for a in sets)])), bool)
+            for k, a in enumerate(sets):
+                allowed[k, list(a)] = True
+            pieces.append(Packed(
+                np.array([leaf.features for leaf in part]), np.array([leaf.low for leaf in part]),
+                np.array([leaf.high for leaf in part]),
+                np.array([[-1 if a is None else place[a] for a in leaf.allowed] for leaf in part]),
+                allowed if sets else np.zeros((0, 0), bool),
+                np.array([leaf.share for leaf in part]), np.array([leaf.value for leaf in part])))
+    return pieces
+
+
+def _contributions_udf(packed, slot_feature: Sequence[int], n_features: int):
+    """Vector column in, per-feature contributions out; slots of one feature are summed.
+
+    ``packed`` is a broadcast of the packed leaves' arrays; leaves number at most rounds * 2 ** depth.
+    """
 
     @F.pandas_udf("array<double>")
     def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        deep = [leaf for leaf in leaves if leaf.features]
-        tables = [_pattern_table(leaf) for leaf in deep]
-        owner = np.asarray(slot_feature)
+        owner = np.eye(n_features)[np.asarray(slot_feature)]
+        pieces = [(piece, piece.tables(), owner[piece.features.ravel()]) for piece in (Packed(**p) for p in packed.value)]
         for batch in batches:
             x = np.array(batch.tolist(), dtype=float).reshape(len(batch), -1)
             out = np.zeros((len(batch), n_features))
-            for leaf, table in zip(deep, tables):
-                pattern = np.zeros(len(batch), dtype=np.int64)
-                for bit, slot in enumerate(leaf.features):
-                    value, allowed = x[:, slot], leaf.allowed[bit]
-                    met = ((value > leaf.low[bit]) & (value <= leaf.high[bit]) if allowed is None
-                           else np.isin(value, list(allowed)))
-                    pattern |= met.astype(np.int64) << bit
-                found = table[pattern]
-                for bit, slot in enumerate(leaf.features):
-                    out[:, owner[slot]] += found[:, bit]
+            for begin in range(0, len(batch), ROW_CHUNK):
+                rows = slice(begin, begin + ROW_CHUNK)
+                for piece, tables, owners in pieces:
+                    pattern = piece.patterns(x[rows])
+                    found = tables[np.arange(len(tables)), pattern]
+                    out[rows] += found.reshape(len(pattern), -1) @ owners
             yield pd.Series(list(out))
 
     return contributions
@@ -162,8 +211,8 @@ class Explainer:
     def _with_values(self, rows: DataFrame) -> DataFrame:
         features = self.features
         place = {f: i for i, f in enumerate(features)}
-        udf = _contributions_udf(
-            self.leaves, [place[f] for f in self.slot_features], len(features))
+        packed = rows.sparkSession.sparkContext.broadcast([vars(p) for p in pack(self.leaves)])
+        udf = _contributions_udf(packed, [place[f] for f in self.slot_features], len(features))
         prepared = PipelineModel(self.model.stages[:-1]).transform(rows)
         return prepared.select(
             *rows.columns, udf(vector_to_array(FEATURES_COL)).alias("__values"))

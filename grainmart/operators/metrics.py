@@ -45,9 +45,11 @@ def rank_metrics(
     )
 
 
-def metrics_long(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Metric columns as (keys, metric, value) rows."""
-    return metrics.unpivot(list(keys), list(METRICS), "metric", "value")
+def metrics_long(metrics: DataFrame, keys: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """Metric columns, and other numbers such as sizes, as (keys, metric, value) rows."""
+    names = [*METRICS, *also]
+    return metrics.select(*keys, *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        list(keys), names, "metric", "value")
 
 
 def compare_scores(scored: DataFrame, scores: dict[str, str], label: str) -> DataFrame:

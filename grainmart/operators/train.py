@@ -22,6 +22,7 @@ from grainmart.operators.rollup import union_all
 from grainmart.operators.split import stratified_folds, stratified_holdout
 
 LABEL, WEIGHT = "__label", "__weight"
+ROWS_PER_TASK = 20_000  # of a boosted fit
 _COLUMNS = {"featuresCol": FEATURES_COL, "labelCol": LABEL, "weightCol": WEIGHT,
             "predictionCol": "__class"}
 
@@ -50,7 +51,7 @@ def _boosted(depth: int, min_rows: int) -> Callable:
         return _name_scores(GBTClassifier(
             maxIter=rounds, maxDepth=depth, minInstancesPerNode=min_rows, stepSize=0.03,
             subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=max(32, categories),
-            seed=settings.seed, **_COLUMNS))
+            seed=settings.seed, checkpointInterval=50, **_COLUMNS))
     return build
 
 
@@ -132,7 +133,9 @@ def _fit_boosted(
         rows, settings.id_col, LABEL, settings.inner_validation_share, settings.seed, name="__valid")
     weight = class_weight(inner.filter(~F.col("__valid")), LABEL, balanced=False)
     prepared = prep.transform(inner.withColumn(WEIGHT, weight)).select(
-        FEATURES_COL, LABEL, WEIGHT, "__valid").persist(StorageLevel.MEMORY_AND_DISK)
+        FEATURES_COL, LABEL, WEIGHT, "__valid")
+    # Every level of every tree is a job over all partitions, so small data gets few of them.
+    prepared = prepared.coalesce(-(-rows.count() // ROWS_PER_TASK)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fit_on, judge_on = prepared.filter(~F.col("__valid")), prepared.filter("__valid")
         budget = min(settings.max_rounds, 2 * settings.patience)

@@ -136,7 +136,7 @@ def train(
 
     oof = out_of_fold_scores(pool, features, settings, models).persist(StorageLevel.MEMORY_AND_DISK)
     by_fold = rank_metrics(oof, "probability", settings.label_col, ["model", "fold"])
-    append_runs(metrics_long(by_fold, ["model", "fold"]), run_id, f"{settings.reports_dir}/runs")
+    append_runs(metrics_long(by_fold, ["model", "fold"], ["n_rows", "n_positive"]), run_id, f"{settings.reports_dir}/runs")
     runs = spark.read.parquet(f"{settings.reports_dir}/runs").filter(F.col("run_id") == run_id)
     folds = runs.groupBy("model", "fold").pivot("metric", ["roc_auc", "pr_auc"]).agg(F.first("value"))
     summary = cv_summary(folds)

@@ -120,6 +120,39 @@ def test_contributions_equal_enumerated_shapley_values(spark, pool, saved, tmp_p
             assert c["contribution"] == pytest.approx(by_feature[c["feature"]], abs=1e-9)
 
 
+def test_packed_tables_equal_the_definition_of_the_game():
+    leaf = explain.Leaf((0, 2, 3), (-np.inf, 0.5, -np.inf), (1.0, np.inf, np.inf), (None, None, frozenset({1, 4})), (0.3, 0.6, 0.2), 2.5)
+    (piece,) = explain.pack([leaf, explain.Leaf((), (), (), (), (), 1.0)])
+    (table,) = piece.tables()
+
+    def worth(known, met):
+        return leaf.value * np.prod([float(met[j]) if j in known else leaf.share[j] for j in range(3)])
+
+    for pattern in range(8):
+        met = [(pattern >> j) & 1 for j in range(3)]
+        for i in range(3):
+            others = [j for j in range(3) if j != i]
+            want = sum(factorial(n) * factorial(2 - n) / 6 * (worth({*known, i}, met) - worth(set(known), met))
+                       for n in range(3) for known in combinations(others, n))
+            assert table[pattern, i] == pytest.approx(want)
+    x = np.array([[0.9, 9, 0.6, 4.0], [1.1, 9, 0.5, 4.0], [0.0, 9, 0.7, 7.0], [0.0, 9, 0.7, 1.0]])
+    assert piece.patterns(x)[:, 0].tolist() == [7, 4, 3, 7]
+
+
+def test_the_first_rounds_of_a_fit_are_the_shorter_fit(spark, pool, tmp_path):
+    prep = train.fit_tree_preparation(pool, FEATURES.numeric, FEATURES.levels)
+    rows = prep.transform(pool.withColumns({train.LABEL: F.col("y").cast("double"), train.WEIGHT: F.lit(1.0)})).coalesce(1)
+    build = lambda n: train.MODELS["boosted_shallow"].build(SETTINGS, n, prep.max_categories).fit(rows)
+    cut, short = train.first_rounds(build(8), 3), build(3)
+    cut.write().save(str(tmp_path / "cut"))
+    loaded = type(cut).load(str(tmp_path / "cut"))
+    for model in (cut, loaded):
+        assert model.getNumTrees == 3
+        a, b = (sorted(r["p"] for r in m.transform(rows).select(vector_to_array("__probability")[1].alias("p")).collect())
+                for m in (model, short))
+        assert a == pytest.approx(b, abs=1e-12)
+
+
 def test_importance_is_non_negative_and_descending(pool, saved):
     table = saved[1].global_importance(pool, "id", 100, 42).collect()
     values = [r["mean_abs_contribution"] for r in table]

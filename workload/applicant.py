@@ -19,9 +19,7 @@ from grainmart.operators.rollup import split_pools
 from grainmart.plans.applicant_mart import (
     CONTRACT, MART, ROLLUPS, build_mart, declared_rules_report, roll_up,
 )
-from grainmart.plans.applicant_staging import (
-    CONTACT_FLAGS, DOCUMENT_FLAGS, HOUSING, RENAMED, STAGING, stage_all,
-)
+from grainmart.plans.applicant_staging import STAGING, stage_all
 from workload.derived import RAW, raw_cte, raw_tables
 
 SETTINGS = Settings()
@@ -134,7 +132,11 @@ def profile_header(spark, sf_dir):
     return rounded(profile.header(pool, numeric, text, "target"))
 
 
-LEVEL_COLUMNS = ("occupation_type", "organization_type", "walls_material", "income_type")
+# All text columns of the mart.
+LEVEL_COLUMNS = (
+    "contract_type", "gender", "own_car", "own_realty", "type_suite", "income_type", "education_type",
+    "family_status", "housing_type", "occupation_type", "apply_weekday", "organization_type",
+    "fond_kapremont", "house_type", "walls_material", "emergency_state")
 
 
 def level_capture(spark, sf_dir):
@@ -195,9 +197,46 @@ def _unrounded(sql: str) -> str:
     return sql.replace(_OPEN, "((").replace(_CLOSE, "))")
 
 
+# The clean names and column lists that the mart promises, spelled here once more so that
+# a slip in the library's own lists turns a row red.
+CLEAN_NAMES = {
+    "NAME_CONTRACT_TYPE": "contract_type", "NAME_CONTRACT_STATUS": "contract_status",
+    "CODE_GENDER": "gender", "FLAG_OWN_CAR": "own_car", "FLAG_OWN_REALTY": "own_realty",
+    "NAME_TYPE_SUITE": "type_suite", "NAME_FAMILY_STATUS": "family_status",
+    "NAME_HOUSING_TYPE": "housing_type", "NAME_EDUCATION_TYPE": "education_type",
+    "NAME_INCOME_TYPE": "income_type",
+    "AMT_REQ_CREDIT_BUREAU_HOUR": "bureau_enquiries_hour",
+    "AMT_REQ_CREDIT_BUREAU_DAY": "bureau_enquiries_day",
+    "AMT_REQ_CREDIT_BUREAU_WEEK": "bureau_enquiries_week",
+    "AMT_REQ_CREDIT_BUREAU_MON": "bureau_enquiries_mon",
+    "AMT_REQ_CREDIT_BUREAU_QRT": "bureau_enquiries_qrt",
+    "AMT_REQ_CREDIT_BUREAU_YEAR": "bureau_enquiries_year",
+    "TOTALAREA_MODE": "total_area_mode", "WALLSMATERIAL_MODE": "walls_material",
+    "HOUSETYPE_MODE": "house_type", "FONDKAPREMONT_MODE": "fond_kapremont",
+    "EMERGENCYSTATE_MODE": "emergency_state",
+    "WEEKDAY_APPR_PROCESS_START": "apply_weekday", "HOUR_APPR_PROCESS_START": "apply_hour",
+    "AMT_RECIVABLE": "amt_receivable", "SK_DPD": "dpd", "SK_DPD_DEF": "dpd_def",
+    "NUM_INSTALMENT_VERSION": "instalment_version", "NUM_INSTALMENT_NUMBER": "instalment_number",
+    "NAME_CASH_LOAN_PURPOSE": "cash_loan_purpose", "NAME_PAYMENT_TYPE": "payment_type",
+    "CODE_REJECT_REASON": "reject_reason", "NAME_CLIENT_TYPE": "client_type",
+    "NAME_GOODS_CATEGORY": "goods_category", "NAME_PORTFOLIO": "portfolio",
+    "NAME_PRODUCT_TYPE": "product_type", "NAME_SELLER_INDUSTRY": "seller_industry",
+    "NAME_YIELD_GROUP": "yield_group",
+    "FLAG_LAST_APPL_PER_CONTRACT": "is_last_appl_per_contract",
+    "NFLAG_LAST_APPL_IN_DAY": "is_last_appl_in_day",
+    "NFLAG_INSURED_ON_APPROVAL": "is_insured_on_approval",
+}
+CONTACTS = ("FLAG_MOBIL", "FLAG_EMP_PHONE", "FLAG_WORK_PHONE", "FLAG_CONT_MOBILE", "FLAG_PHONE", "FLAG_EMAIL")
+DOCUMENTS = tuple(f"FLAG_DOCUMENT_{i}" for i in range(2, 22))
+DWELLING = (
+    "APARTMENTS_AVG", "BASEMENTAREA_AVG", "YEARS_BEGINEXPLUATATION_AVG", "YEARS_BUILD_AVG",
+    "COMMONAREA_AVG", "ELEVATORS_AVG", "ENTRANCES_AVG", "FLOORSMAX_AVG", "FLOORSMIN_AVG", "LANDAREA_AVG",
+    "LIVINGAPARTMENTS_AVG", "LIVINGAREA_AVG", "NONLIVINGAPARTMENTS_AVG", "NONLIVINGAREA_AVG")
+
+
 def _plain(raw: str, *, without=()) -> list[str]:
     """Raw columns that are only renamed."""
-    return [f"{c} AS {RENAMED.get(c, c.lower())}" for c in RAW[raw][2]
+    return [f"{c} AS {CLEAN_NAMES.get(c, c.lower())}" for c in RAW[raw][2]
             if c not in without and not c.startswith("DAYS_")]
 
 
@@ -209,7 +248,7 @@ def _years(column: str) -> str:
     return f"-({column}) / CAST(365.25 AS DOUBLE)"
 
 
-_FOLDED = (*CONTACT_FLAGS, *DOCUMENT_FLAGS, *HOUSING)
+_FOLDED = (*CONTACTS, *DOCUMENTS, *DWELLING)
 _APPLICATION_SQL = ", ".join([
     "is_train", *_plain("application_train", without=_FOLDED),
     f"{_ratio('AMT_ANNUITY', 'AMT_CREDIT')} AS annuity_to_credit_ratio",
@@ -221,10 +260,10 @@ _APPLICATION_SQL = ", ".join([
     f"{_years('DAYS_REGISTRATION')} AS registration_years",
     f"{_years('DAYS_ID_PUBLISH')} AS id_publish_years",
     f"{_years('DAYS_LAST_PHONE_CHANGE')} AS last_phone_change_years",
-    f"{' + '.join(CONTACT_FLAGS)} AS contactability_score",
-    f"{' + '.join(DOCUMENT_FLAGS)} AS documents_submitted_count",
-    "(" + " + ".join(f"ifnull({c}, 0)" for c in HOUSING) + ") / CAST(14 AS DOUBLE) AS housing_quality_score",
-    "(" + " + ".join(f"CAST({c} IS NULL AS INT)" for c in HOUSING)
+    f"{' + '.join(CONTACTS)} AS contactability_score",
+    f"{' + '.join(DOCUMENTS)} AS documents_submitted_count",
+    "(" + " + ".join(f"ifnull({c}, 0)" for c in DWELLING) + ") / CAST(14 AS DOUBLE) AS housing_quality_score",
+    "(" + " + ".join(f"CAST({c} IS NULL AS INT)" for c in DWELLING)
     + ") / CAST(14 AS DOUBLE) AS housing_info_missing_rate",
 ])
 

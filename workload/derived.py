@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grainmart.plans.applicant_staging import CONTACT_FLAGS, DOCUMENT_FLAGS, HOUSING
 
 TRAINING = "c_mktsegment <> 'MACHINERY'"
 
@@ -68,14 +67,20 @@ _APPLICATION = {
     **{c: _spread(f"(c_custkey + {i})", 3, 2) for i, c in enumerate((
         "REG_REGION_NOT_LIVE_REGION", "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION",
         "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "LIVE_CITY_NOT_WORK_CITY"))},
-    **{c: _spread(f"(c_custkey + {i})", 5, 3, 2 if i == 4 else None) for i, c in enumerate(CONTACT_FLAGS)},
-    **{c: _spread(f"(c_custkey + {i})", 1, 2) for i, c in enumerate(DOCUMENT_FLAGS)},
+    **{c: _spread(f"(c_custkey + {i})", 5, 3, 2 if i == 4 else None) for i, c in enumerate(
+        f"FLAG_{c}" for c in ("MOBIL", "EMP_PHONE", "WORK_PHONE", "CONT_MOBILE", "PHONE", "EMAIL"))},
+    **{c: _spread(f"(c_custkey + {i})", 1, 2) for i, c in enumerate(
+        f"FLAG_DOCUMENT_{i}" for i in range(2, 22))},
     **{c: _double(_spread("c_custkey", 3 + i, 5, 4)) for i, c in enumerate((
         "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE", "OBS_60_CNT_SOCIAL_CIRCLE",
         "DEF_60_CNT_SOCIAL_CIRCLE"))},
     **{f"AMT_REQ_CREDIT_BUREAU_{u}": _double(_spread("c_custkey", 11 + 2 * i, 7, 6)) for i, u in
        enumerate(("HOUR", "DAY", "WEEK", "MON", "QRT", "YEAR"))},
-    **{c: f"{_double(_spread('c_custkey', 2 * i + 3, 17, i))} / 16" for i, c in enumerate(HOUSING)},
+    **{c: f"{_double(_spread('c_custkey', 2 * i + 3, 17, i))} / 16" for i, c in enumerate(
+        f"{c}_AVG" for c in (
+            "APARTMENTS", "BASEMENTAREA", "YEARS_BEGINEXPLUATATION", "YEARS_BUILD", "COMMONAREA", "ELEVATORS",
+            "ENTRANCES", "FLOORSMAX", "FLOORSMIN", "LANDAREA", "LIVINGAPARTMENTS", "LIVINGAREA",
+            "NONLIVINGAPARTMENTS", "NONLIVINGAREA"))},
     "TOTALAREA_MODE": f"{_double(_spread('c_custkey', 23, 100, 0))} / 64",
     "WALLSMATERIAL_MODE": _pick("c_custkey", "Panel", None, "Stone, brick"),
     "HOUSETYPE_MODE": _pick("c_nationkey", "block of flats", None),
