@@ -290,12 +290,39 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, bytes binary")
 
 
+def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """doc_id, ids, bytes of each row: encode and decode in one pass, so a core keeps one Python worker, not two."""
+    source = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("text"))
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        enc, kind = encoder(ranks_path, pattern), None
+
+        def seen(stream):
+            nonlocal kind
+            for batch in stream:
+                kind = batch.schema.field(0).type
+                yield batch
+
+        for keys, texts in blocks(seen(batches)):
+            packed = [enc.packed(t.decode("utf-8", "replace")) for t in texts]
+            ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
+            decoded = []
+            for ids in packed:
+                stream = StreamDecoder(enc.transducer.bytes_of)
+                decoded.append(b"".join(stream.feed(array("i", ids[i:i + 4 * CHUNK_IDS]).tolist())[0]
+                                        for i in range(0, len(ids), 4 * CHUNK_IDS)))
+                stream.feed([], last=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], kind),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32))),
+                 pa.array(decoded, pa.binary())], names=["doc_id", "ids", "bytes"])
+
+    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, ids array<int>, bytes binary")
+
+
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, **columns) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row: encoded, and decoded again from the ids."""
-    ids = encode(docs, ranks_path, pattern, **columns)
-    # The ids ride along as the decoder's key, so both ends come out of one pass.
-    keyed = ids.select(F.struct("doc_id", F.size("ids").cast("long").alias("n"),
-                                F.sha2(F.array_join("ids", " "), 256).alias("sha")).alias("doc"), "ids")
-    back = decode(keyed, ranks_path, id_col="doc", ids_col="ids")
-    return back.select("doc_id.doc_id", F.col("doc_id.n").alias("n_tokens"), F.col("doc_id.sha").alias("ids_sha256"),
-                       F.sha2("bytes", 256).alias("decoded_sha256"))
+    return encode_and_decode(docs, ranks_path, pattern, **columns).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -73,6 +73,8 @@ def test_round_trip_of_rows(spark, library):
         assert got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
     assert byte_bpe.round_trip(docs.limit(0), RANKS, PATTERN).count() == 0
+    apart = byte_bpe.decode(byte_bpe.encode(docs, RANKS, PATTERN), RANKS)
+    assert {r["doc_id"]: bytes(r["bytes"]).decode() for r in apart.collect()} == {i: t or "" for i, t in enumerate(texts)}
 
 
 def test_counts_follow_edits(library, encoder):
