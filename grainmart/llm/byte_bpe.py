@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from grainmart.llm.common import blocks, utf8
 
-STATES = 1 << 15  # states kept before all are forgotten
-PAIRS = 1 << 17  # pairs of tokens kept
+STATES = 1 << 17  # states kept before all are forgotten
+PAIRS = 1 << 18  # pairs of tokens kept
 PIECES = 1 << 18  # pieces of up to PIECE_BYTES bytes whose ids are remembered
 PIECE_BYTES = 64
 CHUNK_IDS = 4096
