@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainmart.llm.byte_bpe import round_trip
-from grainmart.llm.common import table, written
+from grainmart.llm.common import table, utf8, written
 from grainmart.llm.exact_dedup import drop_exact_copies
 from grainmart.llm.mix_sources import mixed
 from grainmart.llm.ngram_join import drop_near_copies
@@ -15,10 +15,14 @@ from grainmart.llm.toxicity import toxicity
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned on the labels of table labels, does not reject."""
-    verdicts = toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1") \
-        .select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Rows that the classifier, learned on the labels of table labels, does not reject.
+
+    A row goes by its own text only: rows that share its id, or also have none, stay unless theirs is rejected too.
+    """
+    digest = F.sha2(utf8("text"), 256)
+    verdicts = toxicity(docs.withColumn("_sha", digest), table(spark, sf_dir, "labels"), carried=["_sha"]) \
+        .where("predicted = 1").select(F.col("doc_id").alias("_id"), "_sha").distinct()
+    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_sha")), "left_anti")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

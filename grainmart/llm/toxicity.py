@@ -8,7 +8,7 @@ ratio; the strongest features are kept, scaled by it and fed to logistic regress
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -138,44 +138,49 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(features[weights != 0], weights[weights != 0], model.intercept)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, score (0 to 1). Only the text counts; null is an empty text, which has a score too."""
-    source = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("text"))
-    kind = dict(source.dtypes)["doc_id"]
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          carried: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: doc_id, score (0 to 1), and the row's own columns named in carried.
+
+    Only the text counts; null is an empty text, which has a score too.
+    """
+    source = docs.select(F.col(id_col).alias("doc_id"), *carried, utf8(text_col).alias("text"))
+    names = ["doc_id", "score", *carried]
+    types = dict(source.dtypes, score="double")
     features, weights, intercept = model.features, model.weights, model.intercept  # FEATURES numbers at most
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         wanted = np.zeros(1 << BINS, bool)
         wanted[features] = True
         order = np.argsort(features)
-        ids = None
+        kinds: list = []
 
         def seen(stream):
-            nonlocal ids
             for batch in stream:
-                ids = batch.schema.field(0).type
+                kinds[:] = batch.schema.types[:-1]
                 yield batch
 
         for keys, texts in blocks(seen(batches)):
             text, feature = _present(texts, wanted)
             weight = weights[order][np.searchsorted(features[order], feature)] if len(features) else np.empty(0)
             total = intercept + np.bincount(text, weight, len(texts))
+            ids, *rest = (pa.array([k[i] for k in keys], kind) for i, kind in enumerate(kinds))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], ids), pa.array(1 / (1 + np.exp(-np.clip(total, -700, 700))))],
-                names=["doc_id", "score"])
+                [ids, pa.array(1 / (1 + np.exp(-np.clip(total, -700, 700)))), *rest], names=names)
 
-    return source.mapInArrow(run, f"doc_id {kind}, score double")
+    return source.mapInArrow(run, ", ".join(f"`{c}` {types[c]}" for c in names))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic") -> DataFrame:
+             label_col: str = "toxic", carried: Sequence[str] = ()) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of docs, learned from the labels that are not held out.
+    The row's own columns named in carried follow.
 
     held_out: crc32 of the id's decimal text is divisible by folds. A null id is scored like any other. Repeated rows
-    are scored alike; other columns are never read; an empty table gives an empty result.
+    are scored alike; columns not named here are never read; an empty table gives an empty result.
     """
     held_out = F.pmod(id_crc(F.col(id_col)), F.lit(folds)) == 0
     model = fit(docs, labels.where(~held_out), id_col, text_col, label_col)
-    return score(docs, model, id_col, text_col).select(
+    return score(docs, model, id_col, text_col, carried).select(
         "doc_id", (F.pmod(id_crc(F.col("doc_id")), F.lit(folds)) == 0).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), *carried)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from grainmart.llm import queries
 from grainmart.llm.byte_bpe import read_ranks
+from grainmart.llm.toxicity import toxicity
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test data")
@@ -47,6 +48,20 @@ def test_each_stage_works_on_what_the_one_before_kept(spark, tmp_path):
     assert got == want
 
 
+def test_a_toxic_row_takes_no_other_row_of_its_id_along(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    scored = toxicity(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    bad, good = (docs.join(scored.where(f"predicted = {p}").select("doc_id").orderBy("doc_id").limit(3), "doc_id")
+                 .select(docs.columns).orderBy("doc_id") for p in (1, 0))
+    for i in (None, -7):
+        for rows in (bad, good):
+            docs = docs.unionByName(rows.withColumn("doc_id", F.lit(i).cast("bigint")))
+    out = corpus_pipeline.not_toxic(spark, docs, str(DATA))
+    texts = sorted(r["text"] for r in good.collect())
+    assert sorted(r["text"] for r in out.where("doc_id IS NULL").collect()) == texts
+    assert sorted(r["text"] for r in out.where("doc_id = -7").collect()) == texts
+
+
 def test_run_gives_the_rows_of_the_last_stage(spark):
     out = corpus_pipeline.run(spark, str(DATA))
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 100
