@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grainmart.llm.common import Words, blocks, sorted_groups, utf8, written
 from grainmart.llm.components import connected_components
@@ -400,12 +401,23 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "set_key")
 
 
+@F.arrow_udf(T.LongType())
+def set_keys(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The set_key of ngram_groups for UTF-8 texts."""
+    for part in texts:
+        batch = pa.RecordBatch.from_arrays([part], names=["text"])
+        yield pa.array([_set_key(s) for _, block in blocks([batch]) for s in _sets(block)], pa.int64())
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, one id of each group: the smallest. Rows without shingles all stay.
 
-    Rows that repeat an id are one document and stay or go together; a null id stays only if
-    its whole group has none.
+    Rows of a group that repeat an id are one document and stay or go together, whatever the id's rows in other
+    groups do; a null id stays only if its whole group has none.
     """
     groups = ngram_groups(docs, id_col, text_col)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .select(F.col("doc_id").alias("_id"), F.col("set_key").alias("_set")).distinct()
+    out = docs.withColumn("_key", set_keys(utf8(text_col)))
+    return out.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_set")),
+                    "left_semi").drop("_key")

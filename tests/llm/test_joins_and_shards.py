@@ -101,6 +101,13 @@ def test_one_of_each_group_stays(spark):
     assert N.drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids_stay_by_group(spark):
+    rows = near_copies(4, 12, 6)
+    rows += [(None, rows[1][1], "s", "en"), (7001, "p q r s t u v", "s", "en"), (7001, rows[0][1], "s", "en"), (7001, "", "s", "en")]
+    kept = Counter((r["doc_id"], r["text"]) for r in N.drop_near_copies(frame(spark, rows)).collect() if r["doc_id"] in (None, 7001))
+    assert kept == {(None, "a b c d e f g"): 1, (7001, "p q r s t u v"): 1, (7001, ""): 1}
+
+
 def test_pruning_never_loses_a_pair():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2)
