@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +13,8 @@ from pyspark.sql import types as T
 from grainmart.config import Settings, scratch_dir
 from grainmart.operators import profile
 from grainmart.operators.features import (
-    capture_levels, conform_levels, feature_columns, level_counts, most_frequent, numeric_fill,
-    scaled, split_types,
+    capture_levels, conform_levels, feature_columns, fit_linear_preparation, level_counts, most_frequent,
+    numeric_fill, scaled, split_types,
 )
 from grainmart.operators.rollup import split_pools
 from grainmart.plans.applicant_mart import (
@@ -168,6 +169,26 @@ def impute_and_scale(spark, sf_dir):
         "sk_id_curr", *[f"{scaled(c, fills[c])} AS {c}" for c in SCALED]))
 
 
+def linear_numbers(spark, sf_dir):
+    """The numeric half of the linear preparation: every numeric column of the training pool."""
+    pool = training_pool(spark, sf_dir)
+    numeric, _ = split_types(pool, feature_columns(pool, SETTINGS.non_features))
+    pool = written(pool.select("sk_id_curr", *numeric))
+    fills = numeric_fill(pool, numeric)
+    return rounded(pool.selectExpr("sk_id_curr", *[f"{scaled(c, f)} AS {c}" for c, f in fills.items()]))
+
+
+def linear_levels(spark, sf_dir):
+    """The one-hot half, fitted on the training pool: of each row of both pools, the place set in every text
+    column's block; null where the block is all zero."""
+    pools = mart(spark, sf_dir)
+    _, text = split_types(pools, feature_columns(pools, SETTINGS.non_features))
+    pools = written(pools.select("sk_id_curr", "is_train", *text))
+    encoded = fit_linear_preparation(pools.where("is_train"), [], text).transform(pools)
+    return encoded.select("sk_id_curr", *[
+        F.nullif(F.array_position(vector_to_array(f"{c}__hot"), F.lit(1.0)), F.lit(0)).alias(c) for c in text])
+
+
 QUERIES = {
     **{f"applicant_{name}": _stage(name) for name in STAGING},
     **{f"applicant_{name}": _roll(name) for name in ROLLUPS},
@@ -175,7 +196,7 @@ QUERIES = {
         applicant_mart, applicant_declared_rules, applicant_contract_report,
         applicant_contract_violations, profile_missing, profile_label_correlation,
         profile_level_spread, profile_header, level_capture, level_conform, level_most_frequent,
-        impute_and_scale)},
+        impute_and_scale, linear_numbers, linear_levels)},
 }
 
 # ---------------------------------------------------------------------------------- oracle SQL
@@ -533,6 +554,10 @@ def _correlation(c: str) -> str:
             f"* stddev_pop(target) {both}, 0) AS correlation FROM pool")
 
 
+def _level_counts(c: str) -> str:
+    return f"SELECT '{c}' AS feature, {c} AS level, count(*) AS n FROM pool WHERE {c} IS NOT NULL GROUP BY {c}"
+
+
 _LEVELS_SQL = "(" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {c} AS level FROM pool WHERE {c} IS NOT NULL" for c in LEVEL_COLUMNS) + ")"
 
@@ -570,4 +595,15 @@ ORACLE = {
         for c in SCALED) + " FROM pool) SELECT sk_id_curr, " + ", ".join(
         r6(f"({c} - avg({c}) OVER ()) / ifnull(nullif(stddev_pop({c}) OVER (), 0), 1)") + f" AS {c}"
         for c in SCALED) + " FROM filled",
+    "linear_numbers": f"WITH {_MART}, filled AS (SELECT sk_id_curr, " + ", ".join(
+        f"ifnull(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM pool)) AS {c}"
+        for c in _NUMERIC) + " FROM pool) SELECT sk_id_curr, " + ", ".join(
+        r6(f"({c} - avg({c}) OVER ()) / ifnull(nullif(stddev_pop({c}) OVER (), 0), 1)") + f" AS {c}"
+        for c in _NUMERIC) + " FROM filled",
+    "linear_levels": f"WITH {_MART}, counted AS ({' UNION ALL '.join(_level_counts(c) for c in _TEXT)}), "
+    "placed AS (SELECT feature, level, row_number() OVER (PARTITION BY feature ORDER BY level) AS place, "
+    "row_number() OVER (PARTITION BY feature ORDER BY n DESC, level) AS often FROM counted) "
+    "SELECT sk_id_curr, " + ", ".join(
+        f"(SELECT max(place) FROM placed WHERE feature = '{c}' AND CASE WHEN mart.{c} IS NULL THEN often = 1 "
+        f"ELSE level = mart.{c} END) AS {c}" for c in _TEXT) + " FROM mart",
 }
