@@ -244,8 +244,9 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return 5 * both >= 4 * (len(a) + len(b) - both)
 
 
-def dual_links(left: SignatureTree, right: SignatureTree, offset: int, roots: _Roots) -> Iterator[tuple[int, int]]:
+def dual_links(left: SignatureTree, right: SignatureTree, offset: int, roots: _Roots | None) -> Iterator[tuple[int, int]]:
     """Links (left number, right number + offset) that join sets not yet joined; roots keeps them joined.
+    Without roots, all links.
 
     A pair can be alike only if its overlap is 4/9 of the sum of sizes or more; the overlap of any
     pair under two nodes is at most the common bits of their bitmaps plus the smaller excess.
@@ -270,35 +271,42 @@ def dual_links(left: SignatureTree, right: SignatureTree, offset: int, roots: _R
         need = left.sizes[a[0]:a[1], None] + right.sizes[None, b[0]:b[1]]
         for i, j in zip(*np.nonzero(9 * common >= 4 * need), strict=True):
             i, j = int(i) + a[0], int(j) + b[0]
-            if (left is right and i >= j) or roots.root(i) == roots.root(j + offset):
+            if (left is right and i >= j) or (roots and roots.root(i) == roots.root(j + offset)):
                 continue
             if alike(left.sets[i], right.sets[j]):
-                roots.join(i, j + offset)
+                if roots:
+                    roots.join(i, j + offset)
                 yield i, j + offset
 
 
-def _links(names: list[int], sides: list[int], packed: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Links of one unit: of side 0 with itself where there is no side 1, else between the sides."""
+def _links(names: list[int], sides: list[int], packed: list[bytes], every: bool) -> Iterator[tuple[int, int]]:
+    """Links of one unit: of side 0 with itself where there is no side 1, else between the sides.
+
+    All of them if every is set, else enough to join what they join.
+    """
     order = sorted(range(len(names)), key=lambda i: (len(packed[i]), names[i]))
     first = [i for i in order if sides[i] == 0]
     second = [i for i in order if sides[i] == 1]
     bits = 1 << max(8, min(16, (max(map(len, packed)) // 4).bit_length()))
     left = SignatureTree([np.frombuffer(packed[i], np.uint64) for i in first], bits)
     if not second:
-        for i, j in dual_links(left, left, 0, _Roots(len(first))):
+        for i, j in dual_links(left, left, 0, None if every else _Roots(len(first))):
             yield names[first[i]], names[first[j]]
         return
     right = SignatureTree([np.frombuffer(packed[i], np.uint64) for i in second], bits)
-    for i, j in dual_links(left, right, len(first), _Roots(len(first) + len(second))):
+    for i, j in dual_links(left, right, len(first), None if every else _Roots(len(first) + len(second))):
         yield names[first[i]], names[second[j - len(first)]]
 
 
-def _linked(batches) -> Iterator[pa.RecordBatch]:
+def _linked(batches, every: bool = False) -> Iterator[pa.RecordBatch]:
     """Links of every unit of a partition that is sorted by unit."""
     unit, rows = None, ([], [], [])
 
     def done():
-        links = list(_links(*rows)) if len(rows[0]) > 1 and 0 in rows[1] else []
+        # A unit between two blocks of which one is empty has nothing to do: a block's own pairs are of its own unit.
+        place = unit.split(":")[1:]
+        whole = 0 in rows[1] and (place[:2] == place[2:] or 1 in rows[1])
+        links = list(_links(*rows, every)) if len(rows[0]) > 1 and whole else []
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
                                            pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
 
@@ -322,8 +330,14 @@ def _broadcast_bytes(df: DataFrame, order: str, column: str, slices: int, width:
     return df.sparkSession.sparkContext.broadcast(bytes(out))
 
 
-def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, set_key.
+def _all_linked(batches) -> Iterator[pa.RecordBatch]:
+    return _linked(batches, every=True)
+
+
+def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, set_key; n_links too if count_links is set.
+
+    n_links is the number of other rows of similarity 0.8 or more, copies included.
 
     component_id is the smallest id reachable by links of similarity 0.8 or more, the row's own
     included. Rows with equal sets link; null, empty and wordless texts have the empty set and link
@@ -331,6 +345,41 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are whole numbers; other columns are not read; an empty table gives an empty result. Shingles
     and sets are told apart by 64-bit hashes.
     """
+    facts, n, units = _units(docs, id_col, text_col)
+    links = units.mapInArrow(_all_linked if count_links else _linked, "a bigint, b bigint")
+    if count_links:
+        links = written(links, "ngram-all-links")
+    classes = written(connected_components(links, "ngram-links").withColumnsRenamed(
+        {"node": "set_key", "component": "class"}), "ngram-classes", n)
+
+    classed = written(facts.join(classes, "set_key", "left").withColumn("class", F.coalesce("class", "set_key")), "ngram-classed", n)
+    least = written(classed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "ngram-least", n)
+    if count_links:
+        rows = written(facts.where("n_shingles > 0").groupBy("set_key").agg(F.count(F.lit(1)).alias("rows")), "ngram-rows", n)
+        beyond = links.union(links.select("b", "a")).join(rows.withColumnRenamed("set_key", "b"), "b") \
+            .groupBy(F.col("a").alias("set_key")).agg(F.sum("rows").alias("beyond"))
+        counted = rows.join(beyond, "set_key", "left").select(
+            "set_key", (F.col("rows") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"))
+        classed = classed.join(counted, "set_key", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    return classed.join(least, "class", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        "set_key", *(["n_links"] if count_links else []))
+
+
+def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The list of links between distinct sets, each once: a, b, the set_keys of ngram_groups.
+
+    Rows with equal sets link too; their set_key says so, and no pair of them is listed.
+    """
+    *_, units = _units(docs, id_col, text_col)
+    return units.mapInArrow(_all_linked, "a bigint, b bigint")
+
+
+def _units(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, DataFrame]:
+    """(doc_id, n_shingles, set_key) of every row, their number, and the units of work, each in one sorted piece.
+
+    Every pair of sets that can be alike meets in exactly one unit.
+    """
     texts = docs.select(utf8(text_col).alias("text"))
     described = written(
         docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("text")).mapInArrow(
@@ -388,17 +437,8 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     alone = F.array(F.struct(F.col("component").cast("string").alias("unit"), F.lit(0).alias("side")))
     units = placed.withColumn("block", mine).select("set_key", F.explode(
         F.when(F.col("blocks").isNull(), alone).otherwise(F.concat(same, above, below))).alias("u"))
-    links = units.select("set_key", "u.unit", "u.side").join(sets, "set_key") \
-        .select("unit", "set_key", "side", "shingles").repartition("unit").sortWithinPartitions("unit") \
-        .mapInArrow(_linked, "a bigint, b bigint")
-    classes = written(connected_components(links, "ngram-links").withColumnsRenamed(
-        {"node": "set_key", "component": "class"}), "ngram-classes", n)
-
-    classed = written(facts.join(classes, "set_key", "left").withColumn("class", F.coalesce("class", "set_key")), "ngram-classed", n)
-    least = written(classed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "ngram-least", n)
-    return classed.join(least, "class", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
-        "set_key")
+    return facts, n, units.select("set_key", "u.unit", "u.side").join(sets, "set_key") \
+        .select("unit", "set_key", "side", "shingles").repartition("unit").sortWithinPartitions("unit")
 
 
 @F.arrow_udf(T.LongType())

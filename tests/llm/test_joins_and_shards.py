@@ -81,6 +81,29 @@ def test_groups_equal_brute_force(spark, monkeypatch, seed, block):
     assert sorted(map(tuple, got), key=str) == grouped(rows)
 
 
+@pytest.mark.parametrize("block", [256, 3])
+def test_links_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK_SETS", block)
+    monkeypatch.setattr(N, "LEAF_SETS", 2)
+    rows = near_copies(2, 20, 12)
+    rows += [(8000 + i, rows[0][1], "s", "en") for i in range(5)]
+    sets = [shingles(t) for _, t, *_ in rows]
+
+    def linked(a, b):
+        both = len(a & b)
+        return both and 100 * both >= 80 * (len(a) + len(b) - both)
+
+    want = sorted(((r[0], sum(bool(linked(sets[i], s)) for j, s in enumerate(sets) if j != i)) for i, r in enumerate(rows)), key=str)
+    docs = frame(spark, rows)
+    got = N.ngram_groups(docs, count_links=True)
+    assert sorted(map(tuple, got.select("doc_id", "n_links").collect()), key=str) == want
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == grouped(rows)
+    pairs = N.ngram_links(docs).collect()
+    links = {frozenset(r) for r in pairs}
+    distinct = list({frozenset(s) for s in sets})
+    assert len(links) == len(pairs) == sum(bool(linked(a, b)) for i, a in enumerate(distinct) for b in distinct[:i])
+
+
 def test_the_boundary_of_similarity_is_a_link(spark):
     base = [f"w{i}" for i in range(13)]  # 9 shingles; one word more at the end makes 10
     rows = [(1, " ".join(base[:12]), "s", "en"), (2, " ".join(base[:12] + ["x", "y"]), "s", "en"),
