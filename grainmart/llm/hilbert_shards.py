@@ -17,6 +17,7 @@ SHARDS = 16
 BITS = 4  # per dimension: 16 levels
 DIMENSIONS = 3
 BUCKET_ROWS = 4096
+BUCKET = ["curve", "bucket", "apart", "part"]
 
 
 def hilbert_index(point: tuple[int, ...], bits: int) -> int:
@@ -47,6 +48,16 @@ def hilbert_index(point: tuple[int, ...], bits: int) -> int:
     return index
 
 
+def in_buckets(rows: DataFrame) -> DataFrame:
+    """rows with the columns apart and part, so that the columns of BUCKET cut a cell into buckets of bounded size."""
+    # Rows that agree in every column share h: more of them than a bucket holds are buckets of their own, cut by tie.
+    heavy = written(rows.groupBy("curve", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS).select(
+        "curve", "h", F.ceil(F.col("n") / BUCKET_ROWS).alias("parts")), "shard-ties")
+    return rows.join(heavy, ["curve", "h"], "left").withColumns({
+        "apart": F.when(F.col("parts").isNotNull(), F.col("h")).otherwise(-1.0),
+        "part": F.coalesce(F.floor(F.col("tie") * F.col("parts")), F.lit(0)).cast("long")})
+
+
 def curve_shards(docs: DataFrame, shards: int = SHARDS, law: str = "rows", id_col: str = "doc_id",
                  text_col: str = "text", dimensions: tuple[str, str] = ("source", "lang")) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, curve (place of its cell), shard, slot.
@@ -72,7 +83,8 @@ def curve_shards(docs: DataFrame, shards: int = SHARDS, law: str = "rows", id_co
         [(i, hilbert_index((i // levels ** 2, i // levels % levels, i % levels), BITS))
          for i in range(levels ** DIMENSIONS)], "cell int, curve long")
     facts = written(facts.join(F.broadcast(places), "cell").select(
-        "doc_id", "size", "text_crc32", "curve", unit("doc_id").alias("h")), "shard-facts")
+        "doc_id", "size", "text_crc32", "curve", unit("doc_id", "size", "text_crc32").alias("h"),
+        unit(F.monotonically_increasing_id()).alias("tie")), "shard-facts")
 
     # At most 4096 cells: this window and this broadcast have that bound at any input.
     before = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,12 +98,13 @@ def curve_shards(docs: DataFrame, shards: int = SHARDS, law: str = "rows", id_co
 
     dealt = facts.join(F.broadcast(cells.select("curve", "buckets", "cell_rows", "cell_bytes")), "curve") \
         .withColumn("bucket", F.floor(F.col("h") * F.col("buckets")).cast("long"))
-    earlier = Window.partitionBy("curve").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = dealt.groupBy("curve", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).select(
-        "curve", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("bucket_rows"),
+    dealt = in_buckets(dealt)
+    earlier = Window.partitionBy("curve").orderBy("bucket", "apart", "part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).select(
+        *BUCKET, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("bucket_rows"),
         F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bucket_bytes"))
-    inside = Window.partitionBy("curve", "bucket").orderBy("h", "doc_id", "size", "text_crc32")
-    placed = dealt.join(totals, ["curve", "bucket"]).withColumns({
+    inside = Window.partitionBy(*BUCKET).orderBy("h", "doc_id", "size", "text_crc32")
+    placed = dealt.join(totals, BUCKET).withColumns({
         "at": F.col("cell_rows") + F.col("bucket_rows") + F.row_number().over(inside) - 1,
         "byte": F.col("cell_bytes") + F.col("bucket_bytes") + F.coalesce(
             F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})

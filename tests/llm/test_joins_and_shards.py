@@ -257,6 +257,21 @@ def test_places_do_not_depend_on_partitioning(spark):
     assert a == b
 
 
+@pytest.mark.parametrize("law", ["rows", "bytes"])
+def test_rows_of_one_id_are_numbered_in_buckets_of_bounded_size(spark, monkeypatch, law):
+    monkeypatch.setattr(H, "BUCKET_ROWS", 16)
+    rows = [(None, f"t{i:04}", "hot", "en") for i in range(1000)] + [(None, "same", "hot", "en")] * 1000
+    dealt, cut = [], H.in_buckets
+    monkeypatch.setattr(H, "in_buckets", lambda rows: dealt.append(cut(rows)) or dealt[-1])
+    got = H.curve_shards(frame(spark, rows), law=law).collect()
+    assert max(r["count"] for r in dealt[0].groupBy(*H.BUCKET).count().collect()) <= 4 * 16
+    per = {}
+    for r in got:
+        per.setdefault(r["shard"], []).append(r["slot"])
+    assert len(got) == 2000 and set(per) == set(range(16))
+    assert all(sorted(s) == list(range(len(s))) for s in per.values())
+
+
 def test_few_rows_and_written_shards(spark, tmp_path):
     assert H.curve_shards(frame(spark, [])).count() == 0
     few = H.curve_shards(frame(spark, sharded()[:3])).collect()
