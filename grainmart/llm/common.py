@@ -35,6 +35,15 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a written table that nothing will read again."""
+    spark = df.sparkSession
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("llm-"):  # the name that written() gives
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_crc(column: Column) -> Column:
     """crc32 of an id's decimal text; a null id counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
