@@ -39,7 +39,7 @@ def cheapest(rows):
     best = []
 
     def go(i, cost, audit, roles, made):
-        if best and cost > best[0][0]:
+        if cost > (best[0][0] if best else 4 * len(rows)) or not re.fullmatch("(s?(ua)*u?)?", roles):
             return
         if i == len(rows) and re.fullmatch("(s?(ua)+)?", roles):
             if not best or (cost, audit) < best[0][:2]:
@@ -120,7 +120,7 @@ def test_state_is_carried_across_batches_of_any_size(spark):
         assert answer() == whole
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert [r[3] for r in whole] == [0, 0, 299] and whole[2][7] == "K" + "D" * 299 + "I"[:0] or whole[2][7].count("D") >= 299
+    assert [r[3] for r in whole] == [0, 0, 299] and whole[2][7].count("D") >= 299
 
 
 def test_empty_tables_and_conversations_without_rows(spark):
