@@ -40,7 +40,7 @@ def build_index(docs: DataFrame, asked: DataFrame | None = None, id_col: str = "
                           F.size("words").cast("long").alias("n_words"), "words")
     postings = counted.select("row", "doc_id", "n_words", F.posexplode_outer("words").alias("pos", "term"))
     if asked is not None:
-        known = asked.select("term").distinct().withColumn("asked", F.lit(True))
+        known = written(asked.select("term").distinct().withColumn("asked", F.lit(True)), "leak-asked")
         postings = postings.join(known, "term", "left").where("asked OR coalesce(pos, 0) = 0").select(
             "row", "doc_id", "n_words", "pos", F.when(F.col("asked"), F.col("term")).alias("term"))
     return written(postings, "leak-index")
@@ -93,10 +93,14 @@ def phrase_matches(index: DataFrame, ranked: DataFrame) -> DataFrame:
     """The written table (row, w, start, length): every place where a window's words stand one after another."""
     postings = index.where("term IS NOT NULL").select("row", "pos", "term")
     plan = ranked.withColumn("length", F.size("ranked"))
-    seeds = postings.join(plan.select(F.col("ranked")[0]["term"].alias("term"), F.col("ranked")[0]["offset"].alias("offset"),
-                                      "w", "length", F.get("ranked", F.lit(1)).alias("next"), "ranked"), "term") \
+    rarest, next_rare = F.col("ranked")[0], F.get("ranked", F.lit(1))
+    # Written, so that Spark knows how small they are: the many postings of other terms then stay where they are.
+    firsts, seconds = (written(plan.select(t["term"].alias("term")).where("term IS NOT NULL").distinct(), "leak-anchors")
+                       for t in (rarest, next_rare))
+    seeds = postings.join(firsts, "term", "left_semi").join(
+        plan.select(rarest["term"].alias("term"), rarest["offset"].alias("offset"), "w", "length", next_rare.alias("next")), "term") \
         .where("pos >= offset").select("row", "w", (F.col("pos") - F.col("offset")).alias("start"), "length", "next")
-    second = postings.join(plan.select(F.get("ranked", F.lit(1))["term"].alias("term")).distinct(), "term", "left_semi")
+    second = postings.join(seconds, "term", "left_semi")
     alone = seeds.where("length = 1").select("row", "w", "start", "length")
     agreed = written(
         seeds.where("length > 1").select("row", "w", "start", "length", (F.col("start") + F.col("next.offset")).alias("pos"),
