@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from grainmart.llm.common import blocks, utf8
 
 STATES = 1 << 17  # states kept before all are forgotten
-PAIRS = 1 << 18  # pairs of tokens kept
 PIECES = 1 << 18  # pieces of up to PIECE_BYTES bytes whose ids are remembered
 PIECE_BYTES = 64
 CHUNK_IDS = 4096
@@ -58,8 +57,7 @@ class Transducer:
                     self.ends.append(-1)
                 node = after
             self.ends[node] = rank
-        self.reachable: dict[int, bool] = {}
-        self.pairs: dict[int, bool] = {}
+        self.steps: dict[int, tuple[bool, list[tuple[int, int, int]]]] = {}  # of the tokens seen: at most all
         # Any two tokens that merge, by their ids: the merges that the rank file implies.
         self.merges: dict[int, int] = {}
         for token, rank in ranks.items():
@@ -103,19 +101,43 @@ class Transducer:
     def _bytewise(self, token: int) -> list[int]:
         return [self.byte_ids[b] for b in self.bytes_of[token]]
 
+    def _steps(self, token: int) -> tuple[bool, list[tuple[int, int, int]]]:
+        """Whether a token's bytes merge to it, and its merges in order: (rank, first part, last part) before each, then
+        (NEVER, token, token)."""
+        parts, steps, merges = self._bytewise(token), [], self.merges
+        while True:
+            ranks = [merges.get(a << 32 | b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+            lowest = min(ranks, default=NEVER)
+            steps.append((lowest, parts[0], parts[-1]))
+            if lowest == NEVER:
+                return len(parts) == 1, steps
+            i = ranks.index(lowest)
+            parts[i:i + 2] = [lowest]
+
     def _stands(self, before: int, token: int) -> bool:
-        whole = self.reachable.get(token)
-        if whole is None:
-            whole = self.reachable[token] = self.merged(self._bytewise(token)) == [token]
-        if not whole or before < 0:
-            return whole
-        known = self.pairs.get(before << 32 | token)
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.merged(self._bytewise(before) + self._bytewise(token)) == [before, token]
-            self.pairs[before << 32 | token] = known
-        return known
+        """Whether the bytes of both merge to just the two.
+
+        Each side merges as it would alone, the lower rank first and the left one on a tie, unless the
+        parts that meet between them merge before either.
+        """
+        right = self.steps.get(token)
+        if right is None:
+            right = self.steps[token] = self._steps(token)
+        if not right[0] or before < 0:
+            return right[0]
+        left, merges = self.steps[before][1], self.merges
+        i = j = 0
+        while True:
+            a, b = left[i], right[1][j]
+            across = merges.get(a[2] << 32 | b[1], NEVER)
+            if across < a[0] and across <= b[0]:
+                return False
+            if a[0] <= b[0]:
+                if a[0] == NEVER:
+                    return True
+                i += 1
+            else:
+                j += 1
 
     def _move(self, number: int, byte: int) -> tuple[int, int]:
         """(next state, last token of the longer prefix)."""
@@ -185,32 +207,41 @@ class Transducer:
         return tokens, sent + sum(len(self.bytes_of[t]) for t in tokens)
 
 
+class _Pieces(dict):
+    """Packed ids of the pieces met: two halves, of which the older is forgotten when the newer is full.
+
+    A piece found in the older half moves to the newer one, so frequent pieces are never encoded twice.
+    """
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self.transducer, self.older = transducer, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            raw = piece.encode()
+            ids = array("i", self.transducer.encode(raw)).tobytes()
+            if len(raw) > PIECE_BYTES:
+                return ids
+        if len(self) >= PIECES // 2:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Whole texts to ids: each match of the pattern is encoded by itself."""
 
     def __init__(self, ranks_path: str, pattern: str):
         self.pattern = regex.compile(pattern)
         self.transducer = Transducer(read_ranks(ranks_path))
-        self.known: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        """The ids of one piece, packed as 32-bit numbers."""
-        raw = piece.encode()
-        ids = array("i", self.transducer.encode(raw)).tobytes()
-        if len(raw) <= PIECE_BYTES:
-            if len(self.known) >= PIECES:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
+        self.known = _Pieces(self.transducer)
 
     def packed(self, text: str) -> bytes:
-        """The ids of a text, packed."""
-        matches = self.pattern.findall(text)
-        out = list(map(self.known.get, matches))
-        if None in out:
-            known, piece = self.known, self.piece
-            out = [known.get(m) or piece(m) for m in matches]
-        return b"".join(out)
+        """The ids of a text, packed as 32-bit numbers."""
+        return b"".join(map(self.known.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str) -> list[int]:
         return array("i", self.packed(text)).tolist()
