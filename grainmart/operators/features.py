@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainmart.functions.sqltext import ident, literal
-from grainmart.operators.ordered import exact_quantiles
+from grainmart.operators.ordered import exact_quantiles, running_totals
+from grainmart.sources.scratch import stored
 
 FEATURES_COL = "__features"
-MAX_LEVELS = 100_000
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -41,29 +41,37 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def capture_levels(pool: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The sorted levels of each column in the training pool.
+def capture_levels(pool: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The written dictionary (feature, level, index) of the training pool: a level's place from 0 in code point order.
 
-    The lists become part of the model, so they must stay small: more than MAX_LEVELS in total
-    is an error rather than a silently shortened list.
+    Places come from a distributed scan over range-partitioned levels, so a column may have any number.
     """
-    levels: dict[str, list[str]] = {c: [] for c in columns}
     if not columns:
-        return levels
-    found = level_counts(pool, columns).select("feature", "level").limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} levels over the columns {list(columns)}")
-    for row in found:
-        levels[row["feature"]].append(row["level"])
-    return {c: sorted(v) for c, v in levels.items()}
-
-
-def conform_levels(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Replace levels unknown to the training pool by null; all other columns are untouched."""
-    return df.withColumns({
-        c: F.when(F.col(c).isin(*known), F.col(c)) if known else F.lit(None).cast("string")
-        for c, known in levels.items()
-    })
+        return pool.sparkSession.createDataFrame([], "feature string, level string, index bigint")
+    found = level_counts(pool, columns).select("feature", "level", F.lit(1).alias("one"))
+    return stored(running_totals(found, ["feature"], "level", ["one"]).select(
+        "feature", "level", F.col("one_before").alias("index")), "levels")
+
+
+def level_lists(levels: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """The dictionary as sorted lists, for models: Spark ML keeps the labels of a text column in the model itself."""
+    lists: dict[str, list[str]] = {c: [] for c in columns}
+    for row in levels.where(F.col("feature").isin(*columns)).orderBy("feature", "index").select("feature", "level").toLocalIterator():
+        lists[row["feature"]].append(row["level"])
+    return lists
+
+
+def conform_levels(df: DataFrame, levels: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace levels that the dictionary does not hold by null; all other columns are untouched.
+
+    Each column meets its levels in a left join: Spark broadcasts a small dictionary and shuffles by a large one.
+    """
+    out = df
+    for i, c in enumerate(columns):
+        known = levels.where(F.col("feature") == c).select(F.col("level").alias(f"__known{i}"))
+        out = out.join(known, F.col(f"`{c}`") == F.col(f"__known{i}"), "left")
+    at = {c: i for i, c in enumerate(columns)}
+    return out.select(*[F.col(f"__known{at[c]}").alias(c) if c in at else F.col(f"`{c}`") for c in df.columns])
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -161,7 +169,7 @@ def fit_linear_preparation(
     stages, assembled = [], [f"{c}__scaled" for c in fills]
     if fills:
         stages.append(_derive({f"{c}__scaled": scaled(c, f) for c, f in fills.items()}))
-    levels = {c: v for c, v in capture_levels(pool, categorical).items() if v}
+    levels = {c: v for c, v in level_lists(capture_levels(pool, categorical), categorical).items() if v}
     if levels:
         modes = {r["feature"]: r["level"] for r in most_frequent(pool, list(levels)).collect()}
         stages.append(_derive({

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import math
+import struct as binary
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainmart.functions.sqltext import ident, literal, struct
+from grainmart.functions.sqltext import ident, struct
+from grainmart.sources.scratch import stored
 
-QUANTILE_ACCURACY = 10_000
-MAX_SLICES = 1024
+DIGIT = 10  # bits of a key that one pass of the selection settles
+LEAF_ROWS = 1 << 20  # rows of a bucket that one task may rank
+FIRST_SHIFT = 52  # sign and exponent: at most 4096 buckets
 
 
 def running_totals(
@@ -20,37 +23,27 @@ def running_totals(
     """Add ``<m>_before`` (sum over smaller ``order`` values of the same ``by`` group) and
     ``<m>_total`` (sum over the group) for each measure.
 
-    ``groups`` must hold one row per (by, order) value. The value range is cut into slices of
-    about equal row counts at approximate quantiles; running sums are taken inside a slice and
-    shifted by the totals of the slices below it. No window spans more than one slice or, for
-    the slice totals, more rows than there are slices.
+    ``groups`` must hold one row per (by, order) value. A distributed scan: rows are range
+    partitioned by (by, order) and written with their partition's number; each partition is summed,
+    and running sums inside a partition are shifted by the sums of the partitions before it. There
+    are as many slices as Spark makes partitions, or ``slices``; no window spans more than one of
+    them or, for their sums, more rows than there are of them.
     """
-    if slices is None:
-        partitions = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = min(max(8, partitions), MAX_SLICES)
-    # The measures are part of this aggregate only to keep its input identical to that of the
-    # other two uses of ``groups``, so that all three share one exchange.
-    cuts = groups.agg(F.struct(
-        F.percentile_approx(order, [i / slices for i in range(1, slices)], QUANTILE_ACCURACY)
-        .alias("cuts"),
-        *[F.sum(m).alias(m) for m in measures],
-    )).scalar()
-    sliced = groups.withColumn("__cuts", cuts["cuts"]).withColumn(
-        "__slice", F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < F.col(order))), F.lit(0))
-    ).drop("__cuts")
-
-    keys = [*by, "__slice"]
-    earlier = Window.partitionBy(*by, F.lit(0)).orderBy("__slice").rowsBetween(
+    ranged = groups.repartitionByRange(*([slices] if slices else []), *by, order)
+    placed = stored(ranged.withColumn("__part", F.spark_partition_id()), "ranges")
+
+    keys = [*by, "__part"]
+    earlier = Window.partitionBy(*by, F.lit(0)).orderBy("__part").rowsBetween(
         Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by, F.lit(0))
-    per_slice = sliced.groupBy(*keys).agg(*[F.sum(m).alias(f"__{m}") for m in measures])
-    shifts = per_slice.select(
+    per_part = placed.groupBy(*keys).agg(*[F.sum(m).alias(f"__{m}") for m in measures])
+    shifts = per_part.select(
         *keys,
         *[F.coalesce(F.sum(f"__{m}").over(earlier), F.lit(0)).alias(f"__{m}_shift") for m in measures],
         *[F.sum(f"__{m}").over(whole).alias(f"{m}_total") for m in measures],
     )
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    running = sliced.select(
+    running = placed.select(
         *keys, *[c for c in groups.columns if c not in keys],
         *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"__{m}_inside") for m in measures],
     )
@@ -61,74 +54,94 @@ def running_totals(
     )
 
 
+def order_key(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` with a 64-bit integer in the order of a double column: the number's own bits, negated below zero.
+
+    Sign, exponent and fraction come from exact arithmetic, so equal numbers (0 and -0 too) have
+    equal keys and ``key_value`` turns a key back into its number. Not for NaN.
+    """
+    a = F.abs(column)
+    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(a)).cast("double")))
+    out = df.withColumn("__e", guess)
+    power = F.pow(F.lit(2.0), F.col("__e"))
+    out = out.withColumn("__e", F.when(power > a, F.col("__e") - 1).when(a >= power * 2, F.col("__e") + 1)
+                         .otherwise(F.col("__e")))  # the logarithm may be off by one near a power of two
+    whole = float(1 << FIRST_SHIFT)
+    bits = (F.col("__e").cast("long") + 1023) * F.lit(1 << FIRST_SHIFT) \
+        + ((a / F.pow(F.lit(2.0), F.col("__e")) - 1) * whole).cast("long")
+    magnitude = F.when(a == 0, F.lit(0)).when(a == float("inf"), F.lit(2047 << FIRST_SHIFT)) \
+        .when(a < 2.0 ** -1022, (a * 2.0 ** 537 * 2.0 ** 537).cast("long")).otherwise(bits)
+    return out.withColumn(name, F.when(F.col(column) < 0, -magnitude).otherwise(magnitude)).drop("__e")
+
+
+def key_value(key: int) -> float:
+    value = binary.unpack(">d", binary.pack(">q", abs(key)))[0]
+    return -value if key < 0 else value
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-    accuracy: int = QUANTILE_ACCURACY,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], leaf_rows: int = LEAF_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated exact quantiles of many columns, nulls skipped.
+    """Linearly interpolated exact quantiles of many columns, nulls and NaNs skipped.
 
-    Three narrow passes: approximate quantiles give a bracket around each wanted rank, a second
-    pass counts the values below it, and only values inside the bracket (a few parts in
-    ``accuracy`` of the rows, equal values merged first) are shuffled and ranked. Collected are
-    a handful of numbers per column and probability.
+    A radix selection over order-preserving keys, for all columns and ranks at once: the first pass
+    counts keys by sign and exponent, each further one counts the next DIGIT bits of the buckets that
+    hold a wanted rank, until such a bucket is small enough for one task to rank. Counts combine
+    before the shuffle; collected are at most 4096 and then 1024 counts per column and rank. A
+    value that fills a third of the rows is one key and is narrowed to itself.
     """
-    margin = 3.0 / accuracy
-    asked = [p for q in probabilities for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    listed = ", ".join(literal(p) for p in asked)
-    values = df.selectExpr(*[
-        f"nanvl(CAST({ident(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS c{i}"
-        for i, c in enumerate(columns)])
-    first = values.selectExpr(*[
-        sql for i in range(len(columns)) for sql in (
-            f"count(c{i}) AS n{i}",
-            f"percentile_approx(c{i}, array({listed}), {accuracy}) AS a{i}")
-    ]).first()
-
-    wanted = []  # (column index, probability index, bracket, rank as a float)
-    for i in range(len(columns)):
-        n = first[f"n{i}"]
-        for j, q in enumerate(probabilities):
-            if n == 0:
-                continue
-            bracket = (first[f"a{i}"][2 * j], first[f"a{i}"][2 * j + 1])
-            # The error bound is below one rank only for larger inputs: take all of a small one.
-            wanted.append((i, j, bracket if n > 2 * accuracy else None, q * (n - 1)))
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    if not wanted:
+    if not columns or not probabilities:
+        return result
+    listed = ", ".join(
+        f"CASE WHEN c{i} IS NOT NULL THEN {struct({'i': str(i), 'v': f'c{i}'})} END" for i in range(len(columns)))
+    values = df.selectExpr(*[
+        f"nanvl(CAST({ident(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS c{i}" for i, c in enumerate(columns)
+    ]).selectExpr(f"inline(array_compact(array({listed})))")
+    keys = order_key(values, "v", "k").select("i", "k")
+
+    def counted(rows: DataFrame, shift: int) -> dict[int, list[tuple[int, int]]]:
+        found: dict[int, list[tuple[int, int]]] = {}
+        for r in rows.groupBy("i", F.shiftright("k", shift).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
+            found.setdefault(r["i"], []).append((r["b"], r["n"]))
+        return {i: sorted(b) for i, b in found.items()}
+
+    def holding(buckets: list[tuple[int, int]], rank: int) -> tuple[int, int, int]:
+        """(bucket, rank inside it, its rows) of the bucket that holds a rank."""
+        for bucket, n in buckets:
+            if rank < n:
+                return bucket, rank, n
+            rank -= n
+        raise AssertionError("ranks are below the number of rows")
+
+    def active(at: dict, shift: int) -> DataFrame:
+        buckets = sorted({(i, place[0]) for (i, _), place in at.items()})
+        chosen = df.sparkSession.createDataFrame(buckets, "i int, b bigint")
+        return keys.withColumn("b", F.shiftright("k", shift)).join(chosen, ["i", "b"])
+
+    first = counted(keys, FIRST_SHIFT)
+    totals = {i: sum(n for _, n in buckets) for i, buckets in first.items()}
+    ranks = {(i, j): q * (n - 1) for i, n in totals.items() for j, q in enumerate(probabilities)}
+    at = {(i, rank): holding(first[i], rank) for (i, _), x in ranks.items() for rank in {math.floor(x), math.ceil(x)}}
+    shift = FIRST_SHIFT
+    while shift and any(n > leaf_rows for _, _, n in at.values()):
+        after = max(0, shift - DIGIT)
+        narrowed = counted(active(at, shift), after)
+        at = {(i, rank): holding([(b, n) for b, n in narrowed[i] if b >> (shift - after) == bucket], inside)
+              for (i, rank), (bucket, inside, _) in at.items()}
+        shift = after
+    if not at:
         return result
 
-    bracketed = [(w, i, b) for w, (i, _, b, _) in enumerate(wanted) if b]
-    below = dict.fromkeys(range(len(wanted)), 0)
-    if bracketed:
-        counts = values.selectExpr(*[
-            f"count_if(c{i} < {literal(low)}) AS b{w}" for w, i, (low, _) in bracketed]).first()
-        below.update({w: counts[f"b{w}"] for w, _, _ in bracketed})
-    candidates = ", ".join(
-        f"CASE WHEN c{i} " + (f"BETWEEN {literal(b[0])} AND {literal(b[1])}" if b else "IS NOT NULL")
-        + f" THEN {struct({'w': str(w), 'v': f'c{i}'})} END"
-        for w, (i, _, b, _) in enumerate(wanted))
-    counted = (
-        values.selectExpr(f"inline(array_compact(array({candidates})))")
-        .groupBy("w", "v").agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = Window.partitionBy("w").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-
-    def rank_in_bracket(rounding) -> str:
-        ranks = ", ".join(
-            f"{rounding(rank) - below[w]}L" for w, (*_, rank) in enumerate(wanted))
-        return f"element_at(array({ranks}), w + 1)"
-
-    picked = counted.withColumn("last", F.sum("n").over(upto)).selectExpr(
-        "w", "v", f"{rank_in_bracket(math.floor)} BETWEEN last - n AND last - 1 AS at_floor",
-        f"{rank_in_bracket(math.ceil)} BETWEEN last - n AND last - 1 AS at_ceil",
-    ).filter("at_floor OR at_ceil").groupBy("w").agg(
-        F.expr("max(CASE WHEN at_floor THEN v END)").alias("low"),
-        F.expr("max(CASE WHEN at_ceil THEN v END)").alias("high"),
-    ).collect()
-    if len(picked) != len(wanted) or any(r["low"] is None or r["high"] is None for r in picked):
-        raise ArithmeticError("a quantile lies outside its bracket")
-    for row in picked:
-        i, j, _, rank = wanted[row["w"]]
-        share = rank - math.floor(rank)
-        result[columns[i]][j] = row["low"] + (row["high"] - row["low"]) * share
+    wanted = df.sparkSession.createDataFrame(
+        [(i, rank, bucket, inside) for (i, rank), (bucket, inside, _) in at.items()],
+        "i int, rank bigint, b bigint, inside bigint")
+    upto = Window.partitionBy("i", "b").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    leaves = active(at, shift).groupBy("i", "b", "k").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("last", F.sum("n").over(upto))
+    picked = leaves.join(wanted, ["i", "b"]).where("inside >= last - n AND inside < last").select("i", "rank", "k").collect()
+    found = {(r["i"], r["rank"]): key_value(r["k"]) for r in picked}
+    for (i, j), x in ranks.items():
+        low, high = found[i, math.floor(x)], found[i, math.ceil(x)]
+        result[columns[i]][j] = low if low == high else low + (high - low) * (x - math.floor(x))
     return result

@@ -18,6 +18,7 @@ from grainmart.config import Settings, ensure_checkpoint_dir
 from grainmart.operators.features import (
     FEATURES_COL, Preparation, class_weight, fit_linear_preparation, fit_tree_preparation,
 )
+from grainmart.operators.isotonic import monotone_steps
 from grainmart.operators.rollup import union_all
 from grainmart.operators.split import stratified_folds, stratified_holdout
 
@@ -191,15 +192,21 @@ def out_of_fold_scores(
         return union_all(list(pool_of_fits.map(inheritable_thread_target(spark)(scored), tasks)))
 
 
-def fit_calibrator(scored: DataFrame, score: str, label: str) -> IsotonicRegressionModel:
-    """One monotone fit of the label on the score. Rows are merged per score first, which leaves
-    the fit unchanged and shrinks what the fit has to sort."""
-    merged = scored.groupBy(F.col(score).cast("double").alias("__score")).agg(
-        F.avg(F.col(label).cast("double")).alias(LABEL),
-        F.count(F.lit(1)).cast("double").alias(WEIGHT))
+def fit_calibrator(
+    scored: DataFrame, score: str, label: str, ranges: int | None = None
+) -> IsotonicRegressionModel:
+    """One monotone fit of the label on the score.
+
+    The steps are pooled in a reduction tree; Spark's own fit, which merges on the driver, sees
+    no more than their two ends, and keeps exactly these in the model.
+    """
+    steps = monotone_steps(scored, score, label, ranges)
+    ends = steps.select("value", "lo", "hi", "weight", F.explode(
+        F.when(F.col("lo") < F.col("hi"), F.array("lo", "hi")).otherwise(F.array("lo"))).alias("__score"))
+    share = F.when(F.col("lo") < F.col("hi"), F.col("weight") / 2).otherwise(F.col("weight"))
     return IsotonicRegression(
         featuresCol="__score", labelCol=LABEL, weightCol=WEIGHT, predictionCol="__calibrated"
-    ).fit(merged)
+    ).fit(ends.select("__score", F.col("value").alias(LABEL), share.alias(WEIGHT)))
 
 
 def calibrated(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from grainmart.config import Settings
 from grainmart.operators import profile
 from grainmart.operators.explain import Explainer, explainable, read_leaves, top_drivers
-from grainmart.operators.features import capture_levels, feature_columns, split_types
+from grainmart.operators.features import capture_levels, feature_columns, level_lists, split_types
 from grainmart.operators.metrics import (
     champion, compare_scores, cv_summary, metrics_long, rank_metrics, reliability_comparison,
 )
@@ -62,7 +62,7 @@ def build_warehouse(spark: SparkSession, warehouse: Warehouse, settings: Setting
 def feature_set(mart: DataFrame, settings: Settings) -> FeatureSet:
     numeric, categorical = split_types(mart, feature_columns(mart, settings.non_features))
     pool, _ = split_pools(mart, settings.split_col)
-    return FeatureSet(numeric, categorical, capture_levels(pool, categorical))
+    return FeatureSet(numeric, categorical, level_lists(capture_levels(pool, categorical), categorical))
 
 
 def profile_report(mart: DataFrame, settings: Settings, path: str | None = None) -> str:

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from grainmart.operators import features as f
 
@@ -26,17 +27,29 @@ def test_feature_list_and_types(frame):
 
 def test_levels_are_captured_on_the_training_pool_and_reused(frame):
     levels = f.capture_levels(frame.filter("is_train"), ["gender"])
-    assert levels == {"gender": ["F", "M"]}
-    got = f.conform_levels(frame, levels).orderBy("id").collect()
-    assert [r["gender"] for r in got] == ["M", "F", None, None]
-    one = f.conform_levels(frame.filter("id = 3"), levels)  # a single row whose level is null
+    assert {tuple(r) for r in levels.collect()} == {("gender", "F", 0), ("gender", "M", 1)}
+    assert f.level_lists(levels, ["gender", "none"]) == {"gender": ["F", "M"], "none": []}
+    got = f.conform_levels(frame, levels, ["gender"]).orderBy("id")
+    assert got.columns == frame.columns and [r["gender"] for r in got.collect()] == ["M", "F", None, None]
+    one = f.conform_levels(frame.filter("id = 3"), levels, ["gender"])  # a single row whose level is null
     assert one.first()["gender"] is None
-
-
-def test_too_many_levels_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(f, "MAX_LEVELS", 3)
-    with pytest.raises(ValueError, match="more than 3 levels"):
-        f.capture_levels(spark.range(9).selectExpr("CAST(id AS STRING) AS c"), ["c"])
+    assert f.capture_levels(frame, []).count() == 0
+    unknown = f.conform_levels(frame, levels.limit(0), ["gender"])
+    assert unknown.filter("gender IS NOT NULL").count() == 0 and unknown.count() == 4
+
+
+def test_a_column_may_have_any_number_of_levels(spark):
+    pool = spark.range(300_000).selectExpr("CAST(id % 150000 AS STRING) AS c", "CAST(id % 3 AS STRING) AS `odd name`")
+    levels = f.capture_levels(pool, ["c", "odd name"])
+    places = levels.groupBy("feature").agg(F.max("index"), F.count("level")).collect()
+    assert {tuple(r) for r in places} == {("c", 149_999, 150_000), ("odd name", 2, 3)}
+    order = sorted(map(str, range(150_000)))
+    for i in (0, 77_777, 149_999):
+        assert levels.filter(f"feature = 'c' AND index = {i}").first()["level"] == order[i]
+    score = spark.range(149_000, 151_000).selectExpr("id", "CAST(id AS STRING) AS c", "'2' AS `odd name`")
+    got = f.conform_levels(score, levels, ["c", "odd name"])
+    assert got.filter("c IS NULL").count() == 1000 and got.filter("`odd name` = '2'").count() == 2000
+    assert "IN (" not in got._jdf.queryExecution().toString()
 
 
 def test_most_frequent_level_takes_the_smallest_on_a_tie(spark):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grainmart.operators import metrics, split
-from grainmart.operators.ordered import exact_quantiles, running_totals
+from grainmart.operators.ordered import exact_quantiles, key_value, order_key, running_totals
 
 
 def order(ids, seed):
@@ -107,6 +107,40 @@ def test_exact_quantiles_equal_linear_interpolation(spark, n):
     assert got["c"] == [None] * 5
 
 
+EXTREMES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 0.9999999999999999, 2.0, -2.0,
+            3.0000000000000004, 1e300, -1e300, 1.7976931348623157e308, float("inf"), float("-inf"), 1 / 3, 1024.0, 1023.9999999999999]
+
+
+def test_keys_are_in_the_order_of_the_numbers_and_turn_back(spark):
+    rng = random.Random(1)
+    values = EXTREMES + [rng.choice([-1, 1]) * rng.random() * 2.0 ** rng.randint(-1070, 1020) for _ in range(3000)]
+    values += [2.0 ** e for e in range(-1074, 1024)]
+    rows = order_key(spark.createDataFrame([(v,) for v in values], "v double"), "v", "k").collect()
+    assert all(key_value(r["k"]) == r["v"] for r in rows)
+    assert [r["v"] for r in sorted(rows, key=lambda r: r["k"])] == sorted(values)
+
+
+@pytest.mark.parametrize("leaf_rows", [1, 40, 1 << 20])
+def test_selection_narrows_to_any_bucket_size(spark, leaf_rows):
+    rng = random.Random(2)
+    columns = {"wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(500)],
+               "narrow": [1.0 + rng.randrange(5) * 2.0 ** -52 for _ in range(500)],
+               "one": [7.5] * 500, "ends": rng.choices([v for v in EXTREMES if abs(v) < 1e300], k=500)}
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns))
+    at = [0.0, 0.1, 0.5, 0.999, 1.0]
+    got = exact_quantiles(df, list(columns), at, leaf_rows=leaf_rows)
+    for c, values in columns.items():
+        values = sorted(values)
+        for q, x in zip(at, got[c], strict=True):
+            low, high = values[int(q * 499)], values[min(499, int(q * 499) + (q * 499 > int(q * 499)))]
+            assert low <= x <= high
+
+
+def test_quantiles_of_no_rows_and_no_columns(spark):
+    df = spark.createDataFrame([], "a double")
+    assert exact_quantiles(df, ["a"], [0.5]) == {"a": [None]} and exact_quantiles(df, [], [0.5]) == {}
+
+
 def test_reliability_bins_drop_empty_bins_and_put_edges_below(spark):
     df = spark.createDataFrame([(0.5, 1)] * 8 + [(0.9, 0), (0.1, 1)], "s double, y int")
     got = [tuple(r)[:2] for r in metrics.reliability_bins(df, "s", "y", 4).orderBy("bin").collect()]

@@ -149,7 +149,7 @@ def level_conform(spark, sf_dir):
     """Scoring pool against the levels of the training pool: the income type of the scoring pool
     never occurs in training."""
     train, score = split_pools(staged(spark, sf_dir, ("stg_application",))["stg_application"], "is_train")
-    return conform_levels(score, capture_levels(train, LEVEL_COLUMNS)).select(
+    return conform_levels(score, capture_levels(train, LEVEL_COLUMNS), LEVEL_COLUMNS).select(
         "sk_id_curr", *LEVEL_COLUMNS)
 
 
