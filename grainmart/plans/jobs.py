@@ -33,30 +33,32 @@ from grainmart.plans.applicant_staging import stage_all
 from grainmart.plans.applicant_tables import RAW_TABLES
 from grainmart.sources.catalog import ingest
 from grainmart.sources.warehouse import (
-    Warehouse, append_runs, load_mart, read_metadata, write_csv, write_metadata,
+    Warehouse, load_mart, read_metadata, read_runs, record_run, write_csv, write_metadata,
 )
 
 
 def build_warehouse(spark: SparkSession, warehouse: Warehouse, settings: Settings) -> DataFrame:
     """Ingest, stage, roll up, join, and stop at the first failed gate. Returns the mart.
 
-    Staging stays lazy. Rollups and the mart are written, because the rules and several later
-    jobs read them again.
+    Staging stays lazy. Rollups and the mart are written beside those in use, because the rules and several
+    later jobs read them again, and published together once both gates have passed.
     """
     ingest(spark, settings.raw_dir, RAW_TABLES, warehouse)
     staged = stage_all({t.name: warehouse.read("raw", t.name) for t in RAW_TABLES})
     warehouse.create_namespaces()
-    written: dict[str, DataFrame] = {}
+    rolled: dict[str, DataFrame] = {}
     for name, df in roll_up(staged).items():
         key = "sk_id_bureau" if name == "int_bureau_balance_agg" else KEY
-        written[name] = warehouse.replace(df, "intermediate", name, bucket_key=key)
-    warehouse.replace(
-        build_mart(staged["stg_application"], written), "marts", MART,
-        sort_by=KEY, partition_by=settings.split_col)
-    mart = load_mart(warehouse, MART, settings.split_col)
-    gate(declared_rules_report({**staged, **written, MART: mart}))
+        rolled[name] = warehouse.stage(df, "intermediate", name, bucket_key=key)
+    flag = settings.split_col
+    mart = warehouse.stage(build_mart(staged["stg_application"], rolled), "marts", MART, sort_by=KEY, partition_by=flag)
+    mart = mart.withColumn(flag, F.col(flag).cast("boolean"))
+    gate(declared_rules_report({**staged, **rolled, MART: mart}))
     gate(CONTRACT.report(mart))
-    return mart
+    for name in rolled:
+        warehouse.publish("intermediate", name)
+    warehouse.publish("marts", MART)
+    return load_mart(warehouse, MART, flag)
 
 
 def feature_set(mart: DataFrame, settings: Settings) -> FeatureSet:
@@ -136,8 +138,8 @@ def train(
 
     oof = out_of_fold_scores(pool, features, settings, models).persist(StorageLevel.MEMORY_AND_DISK)
     by_fold = rank_metrics(oof, "probability", settings.label_col, ["model", "fold"])
-    append_runs(metrics_long(by_fold, ["model", "fold"], ["n_rows", "n_positive"]), run_id, f"{settings.reports_dir}/runs")
-    runs = spark.read.parquet(f"{settings.reports_dir}/runs").filter(F.col("run_id") == run_id)
+    record_run(metrics_long(by_fold, ["model", "fold"], ["n_rows", "n_positive"]), run_id, "folds", f"{settings.reports_dir}/runs")
+    runs = read_runs(spark, f"{settings.reports_dir}/runs").filter(F.col("run_id") == run_id)
     folds = runs.groupBy("model", "fold").pivot("metric", ["roc_auc", "pr_auc"]).agg(F.first("value"))
     summary = cv_summary(folds)
     cv_rows = [r.asDict() for r in summary.collect()]
@@ -154,7 +156,7 @@ def train(
     both = calibrated(held, calibrator, "uncalibrated", "calibrated")
     holdout = compare_scores(both, scores, settings.label_col).withColumn(
         "fold", F.lit(None).cast("int"))
-    append_runs(metrics_long(holdout, ["model", "fold"]), run_id, f"{settings.reports_dir}/runs")
+    record_run(metrics_long(holdout, ["model", "fold"]), run_id, "holdout", f"{settings.reports_dir}/runs")
     facts = pool.agg(
         F.count(F.lit(1)).cast("double").alias("n_train_rows"),
         F.avg(F.col(settings.label_col).cast("double")).alias("label_rate"))
@@ -163,7 +165,7 @@ def train(
     facts = facts.withColumns({"model": F.lit(name), "fold": F.lit(None).cast("int")}).unpivot(
         ["model", "fold"], ["n_train_rows", "label_rate", "n_cv_folds", "n_features"],
         "metric", "value")
-    append_runs(facts, run_id, f"{settings.reports_dir}/runs")
+    record_run(facts, run_id, "facts", f"{settings.reports_dir}/runs")
     reliability_comparison(both, scores, settings.label_col).write.mode("overwrite").parquet(
         f"{settings.reports_dir}/reliability")
 
@@ -178,7 +180,7 @@ def train(
         spark.createDataFrame(
             list(enumerate(fitted.slot_features)), "slot int, feature string"
         ).coalesce(1).write.mode("overwrite").json(f"{base}/slots")
-    metrics = {r["model"]: r.asDict() for r in spark.read.parquet(f"{settings.reports_dir}/runs")
+    metrics = {r["model"]: r.asDict() for r in read_runs(spark, f"{settings.reports_dir}/runs")
                .filter((F.col("run_id") == run_id) & F.col("fold").isNull())
                .groupBy("model").pivot("metric").agg(F.first("value")).collect()}
     held.unpersist()

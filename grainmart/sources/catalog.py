@@ -112,17 +112,18 @@ def load_report(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def load_table(spark: SparkSession, directory: str, spec: TableSpec, warehouse: Warehouse) -> int:
-    """Copy one CSV into the raw layer and gate the copy; returns its row count.
+    """Copy one CSV beside the raw table, gate the copy, then publish it; returns its row count.
 
-    The rules read the columnar copy, so they touch the key columns only.
+    The rules read the columnar copy, so they touch the key columns only. A copy that breaks one stays
+    staged, and the table of the last good load stays in use.
     """
-    copy = warehouse.replace(
+    copy = warehouse.stage(
         read_csv(spark, directory, spec), "raw", spec.name, bucket_key=spec.bucket_key)
     try:
         quality.gate(load_report(copy, spec))
     except QualityError as error:
         raise RejectedTable(spec.name, error) from error
-    return copy.count()
+    return warehouse.publish("raw", spec.name).count()
 
 
 def ingest(

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+STAGED = "__staged"
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
 _METADATA_SCHEMA = (
@@ -39,11 +40,11 @@ class Warehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{str(self.root).rstrip('/')}/{layer}/{name}"
 
-    def replace(
+    def stage(
         self, df: DataFrame, layer: str, name: str, *, bucket_key: str | None = None,
         sort_by: str | None = None, partition_by: str | None = None,
     ) -> DataFrame:
-        """Write the table in place of an older one, and return it as read back.
+        """Write the table beside the one in use, and return it as read back; ``publish`` puts it in place.
 
         ``sort_by`` range-sorts the rows, so that row-group statistics serve keyed lookups.
         ``partition_by`` lets a filter on that column skip the other partitions.
@@ -54,14 +55,45 @@ class Warehouse:
         writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
             writer = writer.partitionBy(partition_by)
+        staged = f"{name}{STAGED}"
         if not self.in_catalog:
-            writer.save(self.path(layer, name))
+            writer.save(self.path(layer, staged))
         else:
             if bucket_key and self.buckets:
                 writer = writer.bucketBy(self.buckets, bucket_key).sortBy(bucket_key)
-            writer.saveAsTable(f"{layer}.{name}")
+            writer.saveAsTable(f"{layer}.{staged}")
+        return self.read(layer, staged)
+
+    def publish(self, layer: str, name: str) -> DataFrame:
+        """Put the staged table in place of the older one, and return it as read there.
+
+        A folder is renamed, not copied; the older one steps aside first and goes last, so that at
+        no time neither is there.
+        """
+        staged = f"{name}{STAGED}"
+        if self.in_catalog:
+            self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+            self.spark.sql(f"ALTER TABLE {layer}.{staged} RENAME TO {layer}.{name}")
+            return self.read(layer, name)
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        new, target, old = (hadoop.Path(self.path(layer, n)) for n in (staged, name, f"{name}__old"))
+        files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(new):
+            raise FileNotFoundError(f"nothing staged for {layer}.{name}")
+        if files.exists(target):
+            files.delete(old, True)
+            files.rename(target, old)
+        if not files.rename(new, target):
+            raise OSError(f"could not publish {layer}.{name}")
+        files.delete(old, True)
+        self.spark.catalog.refreshByPath(self.path(layer, name))
         return self.read(layer, name)
 
+    def replace(self, df: DataFrame, layer: str, name: str, **layout: str | None) -> DataFrame:
+        """Write the table in place of an older one without a check, and return it as read back."""
+        self.stage(df, layer, name, **layout)
+        return self.publish(layer, name)
+
     def read(self, layer: str, name: str) -> DataFrame:
         if self.in_catalog:
             return self.spark.table(f"{layer}.{name}")
@@ -92,8 +124,20 @@ def read_metadata(spark: SparkSession, path: str) -> dict:
     return {**row, "levels": {e["column"]: e["values"] for e in row["levels"]}}
 
 
-def append_runs(metrics: DataFrame, run_id: str, path: str) -> None:
-    """Add (run, model, fold, metric, value) rows to the append-only table of runs."""
+RUNS_SCHEMA = "model string, fold int, metric string, value double, run_id string, section string"
+
+
+def record_run(metrics: DataFrame, run_id: str, section: str, path: str) -> None:
+    """Put one section of a run, (model, fold, metric, value) rows, into the table of runs.
+
+    A section is a folder that is overwritten as a whole, so a repeated or retried run leaves what
+    a single one leaves, and other runs are not touched.
+    """
     metrics.select(
-        F.lit(run_id).alias("run_id"), "model", "fold", "metric", F.col("value").cast("double")
-    ).write.mode("append").parquet(path)
+        "model", "fold", "metric", F.col("value").cast("double"), F.lit(run_id).alias("run_id"), F.lit(section).alias("section")
+    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "section").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The table of runs; ids stay text even where all of them look like numbers."""
+    return spark.read.schema(RUNS_SCHEMA).parquet(path)

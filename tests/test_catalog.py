@@ -5,7 +5,7 @@ from grainmart.sources.catalog import (
     AbsentInputs, RejectedTable, TableSpec, ingest, load_table, missing_inputs,
 )
 from grainmart.sources.warehouse import (
-    Warehouse, append_runs, load_mart, read_metadata, write_csv, write_metadata,
+    Warehouse, load_mart, read_metadata, read_runs, record_run, write_csv, write_metadata,
 )
 
 SPEC = TableSpec("t", "t.csv", ("ID", "V"), ("ID",), (("ID", T.LongType()), ("C", T.StringType()), ("V|W", T.DoubleType())))
@@ -87,6 +87,37 @@ def test_sinks_can_be_read_back(spark, tmp_path):
     write_metadata(spark, str(tmp_path / "meta"), meta)
     assert read_metadata(spark, str(tmp_path / "meta")) == meta
     metric = spark.createDataFrame([("m", 0, "roc_auc", 0.7)], "model string, fold int, metric string, value double")
-    append_runs(metric, "r1", str(tmp_path / "runs"))
-    append_runs(metric, "r2", str(tmp_path / "runs"))
-    assert {r["run_id"] for r in spark.read.parquet(str(tmp_path / "runs")).collect()} == {"r1", "r2"}
+
+
+def test_a_run_recorded_twice_is_there_once_and_leaves_others_alone(spark, tmp_path):
+    def metric(value):
+        return spark.createDataFrame([("m", None, "roc_auc", value)], "model string, fold int, metric string, value double")
+
+    path = str(tmp_path / "runs")
+    for run, section, value in [("1", "folds", 0.7), ("2e5", "folds", 0.6), ("1", "holdout", 0.5), ("1", "folds", 0.8)]:
+        record_run(metric(value), run, section, path)
+    got = {(r["run_id"], r["section"], r["value"]) for r in read_runs(spark, path).collect()}
+    assert got == {("1", "folds", 0.8), ("1", "holdout", 0.5), ("2e5", "folds", 0.6)}
+    assert read_runs(spark, path).count() == 3
+
+
+def test_a_failing_load_leaves_the_table_in_use(spark, tmp_path):
+    assert load(spark, tmp_path, "ID,V\n1,2\n2,3\n") == 2
+    with pytest.raises(RejectedTable):
+        load(spark, tmp_path, "ID,V\n1,2\n1,3\n")
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    assert warehouse.read("raw", "t").count() == 2 and warehouse.read("raw", "t").filter("ID = 2").count() == 1
+    assert load(spark, tmp_path, "ID,V\n7,1\n") == 1  # a good load takes the place of the rejected one
+    assert [tuple(r) for r in warehouse.read("raw", "t").collect()] == [(7, 1.0)]
+    with pytest.raises(FileNotFoundError):
+        warehouse.publish("raw", "t")
+
+
+def test_a_catalog_table_is_published_in_place_of_the_older_one(spark):
+    warehouse = Warehouse(spark, buckets=2)
+    warehouse.create_namespaces(("raw",))
+    warehouse.replace(spark.range(3), "raw", "p", bucket_key="id")
+    warehouse.stage(spark.range(5), "raw", "p", bucket_key="id")
+    assert warehouse.read("raw", "p").count() == 3
+    assert warehouse.publish("raw", "p").count() == 5
+    spark.sql("DROP DATABASE raw CASCADE")

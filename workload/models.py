@@ -19,7 +19,7 @@ from grainmart.operators.rollup import split_pools
 from grainmart.operators.split import seeded_sample
 from grainmart.operators.train import MODELS, calibrated, fit_calibrator, with_probability
 from grainmart.plans import jobs
-from grainmart.sources.warehouse import Warehouse, load_mart
+from grainmart.sources.warehouse import Warehouse, load_mart, read_runs
 from workload.commerce import _ranked, labelled, scored_labels, table
 
 TREES = tuple(name for name, spec in MODELS.items() if spec.is_tree)
@@ -78,7 +78,7 @@ def document_feature_mart(spark, sf_dir):
 
 def _fold_metrics(spark, sf_dir):
     _, settings = _run(spark, sf_dir)
-    runs = spark.read.parquet(f"{settings.reports_dir}/runs").filter("fold IS NOT NULL")
+    runs = read_runs(spark, f"{settings.reports_dir}/runs").filter("fold IS NOT NULL")
     names = ["n_rows", "n_positive", "roc_auc", "pr_auc", "ks_statistic", "brier_score"]
     return runs.groupBy("model", "fold").pivot("metric", names).agg(F.first("value"))
 
@@ -99,7 +99,7 @@ def cv_fold_check(spark, sf_dir):
 def runs_table(spark, sf_dir):
     """The record of a training run: fold metrics, holdout metrics before and after calibration."""
     _, settings = _run(spark, sf_dir)
-    return spark.read.parquet(f"{settings.reports_dir}/runs").select("model", "fold", "metric", "value")
+    return read_runs(spark, f"{settings.reports_dir}/runs").select("model", "fold", "metric", "value")
 
 
 def reliability_table(spark, sf_dir):
