@@ -35,6 +35,11 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """docs as one struct column, doc: columns named beside it cannot clash; select("doc.*") unpacks."""
+    return docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("doc"))
+
+
 def dropped(df: DataFrame) -> None:
     """Delete a written table that nothing will read again."""
     spark = df.sparkSession
@@ -54,9 +59,10 @@ def unit(*columns) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 52)).cast("double") / float(1 << 52)
 
 
-def utf8(text: str = "text") -> Column:
-    """The text as UTF-8 bytes, null as empty."""
-    return F.coalesce(F.col(text), F.lit("")).cast("binary")
+def utf8(text: str = "text", field: str | None = None) -> Column:
+    """The text as UTF-8 bytes, null as empty; field: the text's name in a struct."""
+    column = F.col(text) if field is None else F.col(text)[field]
+    return F.coalesce(column, F.lit("")).cast("binary")
 
 
 def blocks(batches: Iterable, limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list[bytes]]]:

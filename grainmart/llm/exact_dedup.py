@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmart.llm.common import written
+from grainmart.llm.common import packed, written
 
 PREFIX = 64
 BITMAP_BITS = 1 << 15  # of one row of the bitmap (fixed by bitmap_construct_agg)
@@ -65,8 +65,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     order = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("z"),
                      F.col("doc_id").alias("doc_id"), F.col("row").alias("row"))
-    groups = facts.where("survives").groupBy("text_sha256").agg(
-        F.count(F.lit(1)).alias("size"), F.min(order).alias("best")).where("size > 1")
+    # Written, so that the join shuffles both sides itself and the rows of a very large group can be split.
+    groups = written(facts.where("survives").groupBy("text_sha256").agg(
+        F.count(F.lit(1)).alias("size"), F.min(order).alias("best")).where("size > 1"), "dedup-groups")
     return facts.join(groups, "text_sha256", "left").select(
         "doc_id",
         F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
@@ -76,16 +77,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with their columns. Of repeated rows that agree in id and squeezed text, one stays."""
+    """The rows of docs that stay, with their columns. Of repeated rows that agree in id and squeezed text, one stays.
+
+    Null and empty texts are one group, of which one row stays; a null id is an id. Columns may have any
+    names. An empty table gives an empty result.
+    """
     decisions = written(exact_dedup(docs, id_col, text_col, digest_all=True), "dedup-decisions")
     kept = decisions.where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("points").alias("_points"))
+        F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), F.col("points").alias("length"))
     alike = decisions.groupBy("doc_id", "text_sha256", "points").count().where("count > 1").limit(1).count()
-    out = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id"))
-                    & (F.sha2(squeezed(F.col(text_col)), 256) == F.col("_sha"))
-                    & (F.length(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_points")), "left_semi")
+    text = F.col("doc")[text_col]
+    out = packed(docs).withColumns({"of": F.col("doc")[id_col], "digest": F.sha2(squeezed(text), 256),
+                                    "points": F.length(F.coalesce(text, F.lit("")))})
+    out = out.join(kept, F.col("of").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha"))
+                   & (F.col("points") == F.col("length")), "left_semi")
     if alike:
-        out = out.withColumns({"_sha": F.sha2(squeezed(F.col(text_col)), 256),
-                               "_points": F.length(F.coalesce(F.col(text_col), F.lit("")))})
-        out = out.dropDuplicates([id_col, "_sha", "_points"]).drop("_sha", "_points")
-    return out
+        out = out.dropDuplicates(["of", "digest", "points"])
+    return out.select("doc.*")

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainmart.llm.common import WORD_CLASS, unit, written
+from grainmart.llm.common import WORD_CLASS, packed, unit, written
 
 WEIGHTS = (3, 1, 2)  # repeat over the sources in code point order, null last
 TOTAL_SHARE = 1.5  # words of the mix over words of the input
 CEILING = 2  # copies of a source at most
 LEAF = 256  # documents or residues folded in one row
+LOT = 4096  # of rows that repeat id, source and size, numbered at once
 
 
 def word_count(text: Column) -> Column:
@@ -65,7 +66,7 @@ def _meet(state: Column, x: Column, seed: int) -> Column:
     c = state["carry"]
     gain = F.least((1 - c["p"]) * c["mass"], x["p"] * x["mass"])  # what the carried one can take from x
     loss = F.least(c["p"] * c["mass"], (1 - x["p"]) * x["mass"])  # what it can give to x
-    draw = unit(c["doc_id"], c["size"], x["doc_id"], x["size"], F.lit(seed))
+    draw = unit(c["doc_id"], c["size"], c["tie"], x["doc_id"], x["size"], x["tie"], F.lit(seed))
 
     def settle(z):
         takes = z["draw"] * (z["gain"] + z["loss"]) < z["loss"]
@@ -77,9 +78,9 @@ def _meet(state: Column, x: Column, seed: int) -> Column:
         p = F.when(carry_ends, x["p"] - moved / x["mass"]).otherwise(c["p"] + moved / c["mass"])
         return F.struct(
             F.struct(stay["mass"].alias("mass"), stay["doc_id"].alias("doc_id"), stay["size"].alias("size"),
-                     stay["rows"].alias("rows"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)).alias("p")).alias("carry"),
+                     stay["tie"].alias("tie"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)).alias("p")).alias("carry"),
             F.concat(state["done"], F.array(F.struct(
-                end["doc_id"].alias("doc_id"), end["size"].alias("size"), end["rows"].alias("rows"),
+                end["doc_id"].alias("doc_id"), end["size"].alias("size"), end["tie"].alias("tie"),
                 up.cast("int").alias("up")))).alias("done"))
 
     return _let(F.struct(gain.alias("gain"), loss.alias("loss"), draw.alias("draw")), settle)
@@ -88,19 +89,21 @@ def _meet(state: Column, x: Column, seed: int) -> Column:
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = WEIGHTS, share: float = TOTAL_SHARE, ceiling: int = CEILING,
                 seed: int = 7) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies, taken (= copies * size).
+    """One row per input row: doc_id, source, size, tie, source_size, target, copies, taken (= copies * size).
 
-    Rows that repeat (id, source, size) share one decision. A text without words (or null) has size
+    Rows that repeat (id, source, size) are told apart by tie, from 1, and decided each. A text without words (or null) has size
     0, adds nothing to a target and gets its copies by an independent draw. A null source is a
     source of its own, a null id an id. Draws are hashes of ids and sizes: reruns agree on any
     partitioning. An empty table gives an empty result.
     """
-    facts = written(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                    word_count(F.col(text_col)).alias("size"))
-        .groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "mix-facts")
+    alike = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                        word_count(F.col(text_col)).alias("size")) \
+        .groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
+    lots = alike.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / LOT))))
+    facts = written(lots.select("doc_id", "source", "size", F.explode(F.sequence(
+        F.col("lot") * LOT + 1, F.least(F.col("rows"), (F.col("lot") + 1) * LOT))).alias("tie")), "mix-facts")
     sources = facts.groupBy("source").agg(
-        F.sum(F.col("size") * F.col("rows")).alias("source_size"),
+        F.sum("size").alias("source_size"),
         F.count_if(F.col("size") > 0).alias("units"))
     targets = written(source_targets(sources, weights, share, ceiling), "mix-targets")
     most = targets.agg(F.max("units")).first()[0] or 0
@@ -111,11 +114,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("rate", rate).withColumn("p", F.col("rate") - F.floor("rate"))
     leaves = F.ceil(F.col("units") / LEAF)
     level = joined.where("size > 0 AND p > 0").select(
-        "source", F.floor(unit("doc_id", "size", F.lit(seed)) * leaves).cast("long").alias("leaf"),
-        F.struct((F.col("size") * F.col("rows")).cast("double").alias("mass"), "doc_id", "size", "rows", "p").alias("u"))
+        "source", F.floor(unit("doc_id", "size", "tie", F.lit(seed)) * leaves).cast("long").alias("leaf"),
+        F.struct(F.col("size").cast("double").alias("mass"), "doc_id", "size", "tie", "p").alias("u"))
 
-    none = F.expr("cast(array() AS array<struct<doc_id: bigint, size: bigint, rows: bigint, up: int>>)") \
-        .cast(f"array<struct<doc_id:{dict(facts.dtypes)['doc_id']},size:bigint,rows:bigint,up:int>>")
+    none = F.expr("cast(array() AS array<struct<doc_id: bigint, size: bigint, tie: bigint, up: int>>)") \
+        .cast(f"array<struct<doc_id:{dict(facts.dtypes)['doc_id']},size:bigint,tie:bigint,up:int>>")
     ended, groups, depth = [], -(-most // LEAF), 0
     while True:
         meet = _meeting(seed + 1 + depth)
@@ -131,29 +134,34 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if groups <= 1:
             break
         groups, depth = -(-groups // LEAF), depth + 1
-    ended.append(level.select("source", "u.doc_id", "u.size", "u.rows", (F.col("u.p") >= 0.5).cast("int").alias("up")))
+    ended.append(level.select("source", "u.doc_id", "u.size", "u.tie", (F.col("u.p") >= 0.5).cast("int").alias("up")))
     rounded = ended[0]
     for part in ended[1:]:
         rounded = rounded.unionByName(part)
 
     decided = rounded.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("rate", rate)
     plain = joined.where("size = 0 OR p = 0").withColumn(
-        "up", (unit("doc_id", F.lit(seed), F.lit("empty")) < F.col("p")).cast("int"))
-    columns = ["doc_id", "source", "size", "source_size", "target",
-               (F.floor("rate") + F.col("up")).cast("long").alias("copies"), "rows"]
+        "up", (unit("doc_id", "tie", F.lit(seed), F.lit("empty")) < F.col("p")).cast("int"))
+    columns = ["doc_id", "source", "size", "tie", "source_size", "target",
+               (F.floor("rate") + F.col("up")).cast("long").alias("copies")]
     both = decided.select(*columns).unionByName(plain.select(*columns))
-    return both.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select(
-        "doc_id", "source", "size", "source_size", "target", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"))
-
-
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with the columns of docs: a row for each copy, none where there are no copies."""
-    copies = mix_sources(docs, **options).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.col("copies").alias("_copies")).where("_copies > 0").dropDuplicates(["_id", "_source", "_size"])
-    names = {k: options.get(k, d) for k, d in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
-    return docs.join(
-        copies, F.col(names["id_col"]).eqNullSafe(F.col("_id")) & F.col(names["source_col"]).eqNullSafe(F.col("_source"))
-        & (word_count(F.col(names["text_col"])) == F.col("_size"))
-    ).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    return both.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The documents of the mix with the columns of docs: a row for each copy, none where there are no copies.
+
+    Rows that repeat id, source and size are numbered by their texts and follow a decision each. A null
+    or empty text has no words and comes by its own draw; null ids and sources are values. Columns may have
+    any names. An empty table gives an empty result.
+    """
+    copies = mix_sources(docs, id_col, text_col, source_col, **options).where("copies > 0").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("of"), F.col("size").alias("words"), F.col("tie").alias("number"), "copies")
+    doc = F.col("doc")
+    alike = Window.partitionBy("doc_id", "source", "size").orderBy("key")
+    rows = packed(docs).withColumns({"doc_id": doc[id_col], "source": doc[source_col], "size": word_count(doc[text_col]),
+                                     "key": F.xxhash64(doc[text_col])}).withColumn("tie", F.row_number().over(alike))
+    return rows.join(
+        copies, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("of"))
+        & (F.col("size") == F.col("words")) & (F.col("tie") == F.col("number"))
+    ).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainmart.llm.common import Words, blocks, sorted_groups, utf8, written
+from grainmart.llm.common import Words, blocks, packed, sorted_groups, utf8, written
 from grainmart.llm.components import connected_components
 
 SHINGLE = 5
@@ -453,11 +453,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of docs that stay, one id of each group: the smallest. Rows without shingles all stay.
 
     Rows of a group that repeat an id are one document and stay or go together, whatever the id's rows in other
-    groups do; a null id stays only if its whole group has none.
+    groups do; a null id stays only if its whole group has none. Null and empty texts have no shingles. Columns may
+    have any names. An empty table gives an empty result.
     """
     groups = ngram_groups(docs, id_col, text_col)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("_id"), F.col("set_key").alias("_set")).distinct()
-    out = docs.withColumn("_key", set_keys(utf8(text_col)))
-    return out.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_set")),
-                    "left_semi").drop("_key")
+        .select(F.col("doc_id").alias("id"), F.col("set_key").alias("of")).distinct()
+    rows = packed(docs).withColumns({"set_key": set_keys(utf8("doc", text_col)), "doc_id": F.col("doc")[id_col].cast("bigint")})
+    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("set_key") == F.col("of")), "left_semi").select("doc.*")

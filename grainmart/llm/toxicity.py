@@ -19,7 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmart.llm.common import blocks, id_crc, utf8, written
+from grainmart.llm.common import blocks, id_crc, packed, utf8, written
 
 GRAMS = (3, 4, 5, 6)
 BINS = 22  # bits of a feature's number
@@ -95,8 +95,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label")) \
         .orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
     # The chosen labels are fit_rows rows at most, so they may be broadcast at any input.
-    rows = written(docs.join(F.broadcast(chosen), docs[id_col] == F.col("_id"))
-                   .select("label", utf8(text_col).alias("text")).repartition(FIT_TASKS), "toxicity-fit")
+    texts = docs.select(F.col(id_col).alias("of"), utf8(text_col).alias("text"))
+    rows = written(texts.join(F.broadcast(chosen), F.col("of") == F.col("_id"))
+                   .select("label", "text").repartition(FIT_TASKS), "toxicity-fit")
     size = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
     prior = math.log((toxic + 0.5) / (clean + 0.5))
@@ -184,3 +185,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "
     return score(docs, model, id_col, text_col, carried).select(
         "doc_id", (F.pmod(id_crc(F.col("doc_id")), F.lit(folds)) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), *carried)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that the classifier does not reject, with their columns.
+
+    A row goes by its own text only: rows that share its id, or also have none, stay unless theirs is rejected too.
+    Null and empty texts are scored as empty. Columns may have any names. An empty table gives an empty result.
+    """
+    rows = packed(docs).withColumns({"id": F.col("doc")[id_col], "body": F.col("doc")[text_col],
+                                     "sha": F.sha2(utf8("doc", text_col), 256)})
+    scored = toxicity(rows, labels.select(F.col(id_col).alias("id"), F.col(options.get("label_col", "toxic"))), id_col="id",
+                      text_col="body", carried=["sha"], **options)
+    verdicts = scored.where("predicted = 1").select(F.col("doc_id").alias("of"), F.col("sha").alias("digest")).distinct()
+    return rows.join(verdicts, F.col("id").eqNullSafe(F.col("of")) & (F.col("sha") == F.col("digest")), "left_anti").select("doc.*")

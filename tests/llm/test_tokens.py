@@ -40,7 +40,6 @@ def test_ids_equal_the_librarys(library, encoder):
 
 def test_forgetting_states_and_pieces_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "STATES", 50)
-    monkeypatch.setattr(byte_bpe, "PAIRS", 20)
     monkeypatch.setattr(byte_bpe, "PIECES", 10)
     monkeypatch.setattr(byte_bpe, "CHUNK_IDS", 8)
     small = byte_bpe.Encoder(RANKS, PATTERN)
