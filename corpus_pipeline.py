@@ -4,44 +4,40 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from grainmart.llm.byte_bpe import round_trip
-from grainmart.llm.common import table, utf8, written
+from grainmart.llm.common import table, written
 from grainmart.llm.exact_dedup import drop_exact_copies
 from grainmart.llm.mix_sources import mixed
 from grainmart.llm.ngram_join import drop_near_copies
-from grainmart.llm.toxicity import toxicity
+from grainmart.llm.toxicity import without_toxic
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier, learned on the labels of table labels, does not reject.
 
-    A row goes by its own text only: rows that share its id, or also have none, stay unless theirs is rejected too.
+    A row goes by its own text only, whatever rows share its id; null and empty texts are scored as empty.
     """
-    digest = F.sha2(utf8("text"), 256)
-    verdicts = toxicity(docs.withColumn("_sha", digest), table(spark, sf_dir, "labels"), carried=["_sha"]) \
-        .where("predicted = 1").select(F.col("doc_id").alias("_id"), "_sha").distinct()
-    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_sha")), "left_anti")
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is identical but for white space."""
+    """One document of each group that is identical but for white space; null and empty texts are one group."""
     return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by shingle similarity of 0.8 or more."""
+    """One document of each group linked by shingle similarity of 0.8 or more; texts without words all stay."""
     return drop_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: a row for every copy that a document gets."""
+    """The mix of sources: a row for every copy that a document gets; a null source is a source."""
     return mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded bytes of every row of the mix."""
+    """Token counts and digests of the ids and of the decoded bytes of every row of the mix; null has no tokens."""
     return round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
