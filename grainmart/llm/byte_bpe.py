@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmart.llm.common import blocks, utf8
+from grainmart.llm.common import blocks, kept, utf8
 
 STATES = 1 << 17  # states kept before all are forgotten
 PIECES = 1 << 18  # pieces of up to PIECE_BYTES bytes whose ids are remembered
@@ -259,15 +259,9 @@ class StreamDecoder:
         return raw, self.utf8.decode(raw, last)
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(ranks_path: str, pattern: str) -> Encoder:
-    """The encoder of this Python worker, kept from task to task."""
-    key = (ranks_path, pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(ranks_path, pattern)
-    return _ENCODERS[key]
+    """The encoder of this Python worker, kept from task to task until a stage without it begins."""
+    return kept((ranks_path, pattern), lambda: Encoder(ranks_path, pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,7 +282,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 kind = batch.schema.field(0).type
                 yield batch
 
-        for keys, texts in blocks(seen(batches)):
+        for keys, texts in blocks(seen(batches), keep=(ranks_path, pattern)):
             ids = [enc.packed(t.decode("utf-8", "replace")) for t in texts]
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -335,7 +329,7 @@ def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: st
                 kind = batch.schema.field(0).type
                 yield batch
 
-        for keys, texts in blocks(seen(batches)):
+        for keys, texts in blocks(seen(batches), keep=(ranks_path, pattern)):
             packed = [enc.packed(t.decode("utf-8", "replace")) for t in texts]
             ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
             decoded = []

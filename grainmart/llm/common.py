@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,11 +65,29 @@ def utf8(text: str = "text", field: str | None = None) -> Column:
     return F.coalesce(column, F.lit("")).cast("binary")
 
 
-def blocks(batches: Iterable, limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What make() gives, kept in this Python worker from task to task.
+
+    Spark hands workers on from stage to stage, so a worker keeps one thing at a time, and a task
+    that reads its texts by blocks() under another key lets go of it first.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def blocks(batches: Iterable, limit: int = BLOCK_BYTES, keep=None) -> Iterator[tuple[list, list[bytes]]]:
     """(other columns as tuples, texts) of Arrow batches whose last column is the text, cut at limit bytes.
 
     One text longer than the limit is a block of its own, so memory follows the longest text.
+    What this worker kept for another stage is let go of, unless its key is keep.
     """
+    if keep not in _KEPT:
+        _KEPT.clear()
     for batch in batches:
         *rest, texts = [column.to_pylist() for column in batch.columns]
         keys = list(zip(*rest, strict=True))

@@ -29,6 +29,7 @@ MIN_DOCS = 5
 SMOOTHING = 1.0
 REGULARISATION = 1e-3
 FIT_TASKS = 16
+BLOCK_BYTES = 1 << 18  # of text worked on at once: its n-grams take some hundred times that
 
 _FOLD = bytes(32 if b in b" \t\n\r\x0b\x0c" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _GAP = b"\0" * max(GRAMS)
@@ -73,7 +74,7 @@ def _present(texts: list[bytes], wanted: np.ndarray | None) -> tuple[np.ndarray,
 def _counted(batches) -> Iterator[pa.RecordBatch]:
     """(feature, toxic documents, clean documents) of a task's rows (label, text)."""
     counts = np.zeros((2, 1 << BINS), np.int32)
-    for keys, texts in blocks(batches):
+    for keys, texts in blocks(batches, BLOCK_BYTES):
         text, feature = _present(texts, None)
         label = np.array([k[0] for k in keys])[text]
         for y in (0, 1):
@@ -123,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     wanted[features] = True
 
     def tokens(batches) -> Iterator[pa.RecordBatch]:
-        for keys, texts in blocks(batches):
+        for keys, texts in blocks(batches, BLOCK_BYTES):
             text, feature = _present(texts, wanted)
             cut = np.searchsorted(text, np.arange(len(texts) + 1))
             yield pa.RecordBatch.from_arrays(
@@ -161,7 +162,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 kinds[:] = batch.schema.types[:-1]
                 yield batch
 
-        for keys, texts in blocks(seen(batches)):
+        for keys, texts in blocks(seen(batches), BLOCK_BYTES):
             text, feature = _present(texts, wanted)
             weight = weights[order][np.searchsorted(features[order], feature)] if len(features) else np.empty(0)
             total = intercept + np.bincount(text, weight, len(texts))
