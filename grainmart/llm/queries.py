@@ -40,7 +40,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.edited_counts(table(spark, sf_dir, "documents"), token_counts.synthetic_edits(),
+    return token_counts.edited_counts(table(spark, sf_dir, "documents"), token_counts.copying_edits(),
                                       RANKS, public_tokenizers.PATTERN)
 
 

@@ -8,7 +8,9 @@ old leaf boundary where the pre-tokens fall into step again, and updates the sum
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 
 from grainmart.llm.byte_bpe import Encoder, encoder
 
-LEAF_PIECES = 32
+LEAF_PIECES = 16
+NEAR = 32  # characters of context that mostly settle a boundary
 BATCH_ROWS = 64
 
 
@@ -31,9 +34,9 @@ class EditedText:
     def _count(self, pieces: list[str]) -> int:
         return sum(map(len, map(self.enc.known.__getitem__, pieces))) // 4  # four bytes an id
 
-    def _leaves(self, pieces: list[str]) -> list[tuple[str, int, int]]:
+    def _leaves(self, pieces: list[str], size: int = LEAF_PIECES) -> list[tuple[str, int, int]]:
         """(text, tokens, pre-tokens) of runs of pre-tokens."""
-        runs = [pieces[i:i + LEAF_PIECES] for i in range(0, len(pieces), LEAF_PIECES)]
+        runs = [pieces[i:i + size] for i in range(0, len(pieces), size)]
         return [("".join(run), self._count(run), len(run)) for run in runs]
 
     def _plant(self, leaves: list[tuple[str, int, int]]) -> None:
@@ -103,7 +106,10 @@ class EditedText:
             while ahead < self.n and len(context) < 8:
                 context += self.texts[ahead]
                 ahead += 1
-            pieces = self._until(changed, context, ahead >= self.n)
+            if len(context) > NEAR:
+                pieces = self._until(changed, context[:NEAR], False)
+            if pieces is None:
+                pieces = self._until(changed, context, ahead >= self.n)
             if pieces is None:
                 if ahead < self.n and not self._reaches(changed, context):
                     context += self.texts[ahead]
@@ -115,36 +121,33 @@ class EditedText:
                 else:
                     raise AssertionError("the end of a text is always a boundary")
         self.recoded += len(pieces)
-        leaves = self._leaves(pieces)
-        if len(leaves) <= last - first + 1:
-            leaves += [("", 0, 0)] * (last - first + 1 - len(leaves))
-            for i, leaf in enumerate(leaves, first):
+        places = last - first + 1
+        size = max(LEAF_PIECES, -(-len(pieces) // places))
+        if size <= 4 * LEAF_PIECES:  # leaves grow in place, so a tree is planted anew only after many insertions
+            leaves = self._leaves(pieces, size)
+            for i, leaf in enumerate([*leaves, *[("", 0, 0)] * (places - len(leaves))], first):
                 self._set(i, *leaf)
         else:  # more leaves than places: put them between the others and build the sums anew
             at = lambda i: (self.texts[i], self.tokens[self.width + i], self.pieces[i])
-            self._plant([*map(at, range(first)), *leaves, *map(at, range(last + 1, self.n))])
+            self._plant([*map(at, range(first)), *self._leaves(pieces), *map(at, range(last + 1, self.n))])
 
     def _until(self, changed: str, context: str, whole: bool) -> list[str] | None:
         """The pre-tokens of changed, if one ends where it ends when the context follows."""
-        pieces, place, joined = [], 0, changed + context
-        for match in self.enc.pattern.finditer(joined):
-            if match.end() > len(changed):
-                return None
-            # Near the end of the joined text, what is not seen could matter.
-            if not whole and match.end() + 2 > len(joined):
-                return None
-            pieces.append(match.group())
-            place = match.end()
-            if place == len(changed):
-                return pieces
-        return pieces if place == len(changed) else None
+        if not changed:
+            return []
+        # Near the end of the joined text, what is not seen could matter.
+        if not whole and len(context) < 2:
+            return None
+        pieces = self.enc.pattern.findall(changed + context)
+        ends = list(accumulate(map(len, pieces)))
+        i = bisect_left(ends, len(changed))
+        return pieces[:i + 1] if i < len(ends) and ends[i] == len(changed) else None
 
     def _reaches(self, changed: str, context: str) -> bool:
         """Whether a match that begins before the boundary ends beyond it, well before what is not seen."""
-        for match in self.enc.pattern.finditer(changed + context):
-            if match.end() > len(changed):
-                return match.end() + 2 <= len(changed) + len(context)
-        return False
+        ends = list(accumulate(map(len, self.enc.pattern.findall(changed + context))))
+        i = bisect_right(ends, len(changed))
+        return i < len(ends) and ends[i] + 2 <= len(changed) + len(context)
 
 
 def synthetic_edits(id_col: str = "doc_id", text_col: str = "text", every: int = 2000) -> Column:
@@ -154,14 +157,24 @@ def synthetic_edits(id_col: str = "doc_id", text_col: str = "text", every: int =
     Repeatable: all draws are hashes of id, length and number.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    n = F.length(text)
+    return F.transform(copying_edits(id_col, text_col, every), lambda e: F.struct(
+        e["start"].alias("start"), e["delete"].alias("delete"),
+        F.substring(text, e["from"] + 1, e["length"]).alias("insert")))
+
+
+def copying_edits(id_col: str = "doc_id", text_col: str = "text", every: int = 2000) -> Column:
+    """The edits of synthetic_edits with the place and length of what they put in, not the characters.
+
+    Drawing them takes time in proportion to the text; a substring for each, in Spark, would read the text once an edit.
+    """
+    n = F.length(F.coalesce(F.col(text_col), F.lit("")))
 
     def drawn(k: Column, what: str, below: Column) -> Column:
         return F.pmod(F.xxhash64(F.col(id_col), n, k, F.lit(what)), below.cast("long")).cast("int")
 
     return F.transform(F.sequence(F.lit(0), F.floor(n / every).cast("int")), lambda k: F.struct(
         drawn(k, "start", n + 1).alias("start"), drawn(k, "delete", F.lit(12)).alias("delete"),
-        F.substring(text, drawn(k, "from", n + 1) + 1, drawn(k, "length", F.lit(17))).alias("insert")))
+        drawn(k, "from", n + 1).alias("from"), drawn(k, "length", F.lit(17)).alias("length")))
 
 
 def edited_counts(docs: DataFrame, edits: Column, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -169,7 +182,8 @@ def edited_counts(docs: DataFrame, edits: Column, ranks_path: str, pattern: str,
     """One row per input row: doc_id, n_edits, n_tokens_before, n_tokens_after, n_chars_after, n_pretokens, n_recoded, edited_sha256.
 
     edits is an array of (start, delete, insert) in the order to apply; null is no edit, a null member
-    is skipped, a null insert is empty, and places outside the text are moved to its bounds. A null
+    is skipped, a null insert is empty, and places outside the text are moved to its bounds. Instead of
+    insert, members may have (from, length): what the unedited text has there (both 0 or more). A null
     text counts as empty. n_recoded says how many pre-tokens the edits made it encode again. Rows
     are independent of each other; nothing is shuffled. An empty table gives an empty result.
     """
@@ -190,7 +204,9 @@ def edited_counts(docs: DataFrame, edits: Column, ranks_path: str, pattern: str,
                     before, n_pieces = doc.n_tokens, sum(doc.pieces)
                     changes = [c for c in changes or () if c is not None]
                     for c in changes:
-                        doc.edit(c["start"] or 0, c["delete"] or 0, c["insert"] or "")
+                        at = c.get("from") or 0
+                        insert = c["insert"] if "insert" in c else text[at:at + (c["length"] or 0)]
+                        doc.edit(c["start"] or 0, c["delete"] or 0, insert or "")
                     rows.append((len(changes), before, doc.n_tokens, doc.length, n_pieces, doc.recoded,
                                  hashlib.sha256(doc.text.encode()).hexdigest()))
                 columns = [list(c) for c in zip(*rows, strict=True)]

@@ -128,3 +128,28 @@ def test_drawn_edits_match_a_plain_replay(spark, library):
         replay[r["doc_id"]] = (len(r["edits"]), len(library.encode_ordinary(text)))
     got = token_counts.edited_counts(docs, script, RANKS, PATTERN).collect()
     assert {r["doc_id"]: (r["n_edits"], r["n_tokens_after"]) for r in got} == replay
+
+
+def test_copying_edits_are_the_drawn_edits(spark):
+    rng = random.Random(7)
+    texts = [None, "", "é", *(drawn(rng, n) for n in (1, 1999, 2000, 9000)), "a b" * 40_000]
+    docs = spark.createDataFrame([(i if i % 3 else None, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    counted = [token_counts.edited_counts(docs, script, RANKS, PATTERN) for script in (token_counts.synthetic_edits(), token_counts.copying_edits())]
+    assert sorted(map(str, counted[0].collect())) == sorted(map(str, counted[1].collect()))
+
+
+def test_a_tree_is_planted_anew_only_after_many_insertions(library, encoder, monkeypatch):
+    doc = token_counts.EditedText("some words in a row, again and again. " * 3000, encoder)
+    planted = []
+    plant = token_counts.EditedText._plant
+    monkeypatch.setattr(token_counts.EditedText, "_plant", lambda self, leaves: (planted.append(1), plant(self, leaves)))
+    rng = random.Random(8)
+    text = doc.text
+    for _ in range(400):
+        start = rng.randint(0, len(text))
+        text = text[:start] + " new words here" + text[start:]
+        doc.edit(start, 0, " new words here")
+    assert doc.n_tokens == len(library.encode_ordinary(text)) and doc.text == text
+    assert not planted
+    doc.edit(5, 0, " many" * 500)
+    assert len(planted) == 1 and doc.n_tokens == len(library.encode_ordinary(text[:5] + " many" * 500 + text[5:]))
