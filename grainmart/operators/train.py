@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainmart.config import Settings, ensure_checkpoint_dir
+from grainmart.operators.boosting import boost
 from grainmart.operators.features import (
     FEATURES_COL, Preparation, class_weight, fit_linear_preparation, fit_tree_preparation,
 )
@@ -52,7 +53,7 @@ def _boosted(depth: int, min_rows: int) -> Callable:
         return _name_scores(GBTClassifier(
             maxIter=rounds, maxDepth=depth, minInstancesPerNode=min_rows, stepSize=0.03,
             subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=max(32, categories),
-            seed=settings.seed, checkpointInterval=50, **_COLUMNS))
+            seed=settings.seed, **_COLUMNS))
     return build
 
 
@@ -94,17 +95,6 @@ def with_probability(model: PipelineModel, df: DataFrame, name: str = "probabili
         *df.columns, vector_to_array("__probability")[1].alias(name))
 
 
-def _patient_best(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(rounds to keep, whether ``patience`` rounds without improvement were seen)."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
 def first_rounds(model: GBTClassificationModel, keep: int) -> GBTClassificationModel:
     """The model after its first ``keep`` rounds: boosting is sequential, so these are the trees
     that a fit of ``keep`` rounds would have grown."""
@@ -126,9 +116,8 @@ def _fit_boosted(
 ) -> GBTClassificationModel:
     """Boost until an inner validation slice has not improved for ``patience`` rounds.
 
-    The slice comes from the rows given, never from the rows scored later. Rounds are tried in
-    doubling budgets, so a model that stops early never pays for the full number of rounds. Only
-    the prepared vectors are cached.
+    The slice comes from the rows given, never from the rows scored later. Every round is fitted
+    once. Only the prepared vectors and their margins are cached.
     """
     inner = stratified_holdout(
         rows, settings.id_col, LABEL, settings.inner_validation_share, settings.seed, name="__valid")
@@ -136,18 +125,8 @@ def _fit_boosted(
     prepared = prep.transform(inner.withColumn(WEIGHT, weight)).select(
         FEATURES_COL, LABEL, WEIGHT, "__valid")
     # Every level of every tree is a job over all partitions, so small data gets few of them.
-    prepared = prepared.coalesce(-(-rows.count() // ROWS_PER_TASK)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fit_on, judge_on = prepared.filter(~F.col("__valid")), prepared.filter("__valid")
-        budget = min(settings.max_rounds, 2 * settings.patience)
-        while True:
-            model = spec.build(settings, budget, prep.max_categories).fit(fit_on)
-            keep, stopped = _patient_best(model.evaluateEachIteration(judge_on), settings.patience)
-            if stopped or budget >= settings.max_rounds:
-                return first_rounds(model, keep) if keep < budget else model
-            budget = min(settings.max_rounds, 2 * budget)
-    finally:
-        prepared.unpersist()
+    prepared = prepared.coalesce(-(-rows.count() // ROWS_PER_TASK))
+    return boost(spec.build(settings, settings.max_rounds, prep.max_categories), prepared, "__valid", settings.patience)
 
 
 def fit_model(spec: ModelSpec, rows: DataFrame, features: FeatureSet, settings: Settings) -> Fitted:

@@ -3,11 +3,13 @@ from math import exp, factorial
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from grainmart.config import Settings
-from grainmart.operators import explain, train
+from grainmart.operators import boosting, explain, train
 from grainmart.operators.features import FEATURES_COL
 from grainmart.operators.metrics import rank_metrics
 
@@ -41,8 +43,8 @@ def test_out_of_fold_scores_cover_every_row_once_per_model(pool):
 
 
 def test_patience_rule():
-    assert train._patient_best([5, 4, 3, 3.5, 3.6, 2], 2) == (3, True)
-    assert train._patient_best([5, 4, 3, 3.5, 2], 2) == (5, False)
+    assert boosting.patient_best([5, 4, 3, 3.5, 3.6, 2], 2) == (3, True)
+    assert boosting.patient_best([5, 4, 3, 3.5, 2], 2) == (5, False)
 
 
 def test_early_stopping_keeps_the_best_rounds_and_never_exceeds_the_budget(pool):
@@ -51,6 +53,44 @@ def test_early_stopping_keeps_the_best_rounds_and_never_exceeds_the_budget(pool)
     assert 1 <= fitted.model.stages[-1].getNumTrees <= 4
 
 
+def _vectors(spark, n=300):
+    rng = np.random.default_rng(3)
+    data = [(Vectors.dense(rng.normal(size=3).round(2)), float(rng.random() < 0.4), 1.0 + (i % 3) / 2, i % 10 == 0)
+            for i in range(n)]
+    return spark.createDataFrame([(v, y if v[0] < 0.5 else 1 - y, w, j) for v, y, w, j in data],
+                                 ["features", "label", "weight", "judging"]).coalesce(1)
+
+
+@pytest.mark.parametrize("write_every", [25, 2])
+def test_rounds_equal_the_boosting_of_spark(spark, monkeypatch, write_every):
+    monkeypatch.setattr(boosting, "WRITE_EVERY", write_every)
+    rows = _vectors(spark)
+    gbt = GBTClassifier(weightCol="weight", maxIter=5, maxDepth=3, stepSize=0.3, seed=1)
+    grown = list(boosting.boosting_rounds(gbt, rows, "judging"))
+    ours, theirs = boosting.assembled(gbt, grown), gbt.fit(rows.filter("NOT judging"))
+    assert ours.treeWeights == theirs.treeWeights and ours.numFeatures == 3
+    scores = [[tuple(r[0]) for r in m.transform(rows).select("probability").collect()] for m in (ours, theirs)]
+    assert np.allclose(*scores, atol=1e-12)
+    assert [r.loss for r in grown] == pytest.approx(theirs.evaluateEachIteration(rows.filter("judging")), abs=1e-9)
+    # Fewer rounds are the beginning of a longer model.
+    short = boosting.assembled(gbt, grown[:2])
+    assert train.first_rounds(ours, 2).toDebugString.split("\n")[1:] == short.toDebugString.split("\n")[1:]
+
+
+def test_each_round_is_fitted_once_and_no_more_than_patience_asks_for(spark, monkeypatch):
+    fitted = []
+    learner = boosting._learner
+    monkeypatch.setattr(boosting, "_learner", lambda gbt, number: (fitted.append(number), learner(gbt, number))[1])
+    gbt = GBTClassifier(weightCol="weight", maxIter=40, maxDepth=5, stepSize=1.0, seed=1)
+    model = boosting.boost(gbt, _vectors(spark), "judging", patience=2)
+    assert fitted == list(range(len(fitted))) and len(fitted) == model.getNumTrees + 2 < 40
+
+
+def test_rounds_without_judging_rows_go_to_the_end(spark):
+    rows = _vectors(spark).filter("NOT judging")
+    assert boosting.boost(GBTClassifier(weightCol="weight", maxIter=2, maxDepth=2, seed=1), rows, "judging", 1).getNumTrees == 2
+
+
 def test_calibration_is_monotone_and_bounded(spark):
     df = spark.createDataFrame([(i / 100, int(i % 3 == 0 and i > 30)) for i in range(100)] * 2, "s double, y int")
     model = train.fit_calibrator(df, "s", "y")
