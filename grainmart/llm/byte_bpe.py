@@ -28,6 +28,8 @@ PIECES = 1 << 18  # pieces of up to PIECE_BYTES bytes whose ids are remembered
 PIECE_BYTES = 64
 CHUNK_IDS = 4096
 NEVER = 1 << 60
+# An open token of a state in one number: the place in the trie, the token before it plus one, bytes so far.
+_AGE, _OPEN = 16, 38
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,17 +46,20 @@ class Transducer:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.length = {rank: len(token) for token, rank in ranks.items()}
         self.byte_ids = [ranks.get(bytes([b]), -1) for b in range(256)]
-        self.trie: list[dict[int, int]] = [{}]
-        self.ends: list[int] = [-1]
+        if max(ranks.values(), default=0) >= 1 << _OPEN - _AGE or max(self.length.values(), default=0) >= 1 << _AGE:
+            raise ValueError("more or longer tokens than a state can hold")
+        self.trie: dict[int, int] = {}  # node << 8 | byte -> node
+        self.ends, self.inner = array("i", [-1]), bytearray(1)  # token of a node, whether it has others below
         for token, rank in ranks.items():
             # A token that its own bytes do not merge to can only be a whole piece.
             node = 0
             for byte in token:
-                after = self.trie[node].get(byte)
+                after = self.trie.get(node << 8 | byte)
                 if after is None:
-                    after = self.trie[node][byte] = len(self.trie)
-                    self.trie.append({})
+                    after = self.trie[node << 8 | byte] = len(self.ends)
+                    self.inner[node] = 1
                     self.ends.append(-1)
+                    self.inner.append(0)
                 node = after
             self.ends[node] = rank
         self.steps: dict[int, tuple[bool, list[tuple[int, int, int]]]] = {}  # of the tokens seen: at most all
@@ -70,15 +75,14 @@ class Transducer:
     def forget(self) -> None:
         self.states: list[tuple] = []
         self.numbers: dict[tuple, int] = {}
-        self.moves: list[dict[int, tuple[int, int]]] = []
-        self.start = self._number(((0, -1, 0),))
+        self.moves: dict[int, tuple[int, int]] = {}  # state << 8 | byte -> state, last token
+        self.start = self._number((0,))
 
     def _number(self, state: tuple) -> int:
         number = self.numbers.get(state)
         if number is None:
             number = self.numbers[state] = len(self.states)
             self.states.append(state)
-            self.moves.append({})
         return number
 
     def merged(self, parts: list[int]) -> list[int]:
@@ -142,17 +146,18 @@ class Transducer:
     def _move(self, number: int, byte: int) -> tuple[int, int]:
         """(next state, last token of the longer prefix)."""
         opened, last = [], -1
-        for node, before, age in self.states[number]:
-            after = self.trie[node].get(byte)
+        for one in self.states[number]:
+            after = self.trie.get(one >> _OPEN << 8 | byte)
             if after is None:
                 continue
-            if self.trie[after]:
-                opened.append((after, before, age + 1))
+            rest = one & (1 << _OPEN) - 1
+            if self.inner[after]:
+                opened.append((after << _OPEN | rest) + 1)
             token = self.ends[after]
-            if last < 0 and token >= 0 and self._stands(before, token):
+            if last < 0 and token >= 0 and self._stands((rest >> _AGE) - 1, token):
                 last = token
-        opened.append((0, last, 0))
-        move = self.moves[number][byte] = (self._number(tuple(opened)), last)
+        opened.append(last + 1 << _AGE)
+        move = self.moves[number << 8 | byte] = (self._number(tuple(opened)), last)
         return move
 
     def encode(self, piece: bytes) -> list[int]:
@@ -164,7 +169,7 @@ class Transducer:
         if len(piece) <= 4 * CHUNK_IDS:
             state, lasts, moves = self.start, [], self.moves
             for byte in piece:
-                state, last = moves[state].get(byte) or self._move(state, byte)
+                state, last = moves.get(state << 8 | byte) or self._move(state, byte)
                 lasts.append(last)
             return self._walk(lasts, len(piece))[0]
         return self._encode_long(piece)
@@ -172,7 +177,7 @@ class Transducer:
     def _encode_long(self, piece: bytes) -> list[int]:
         state, lasts, out, sent = self.start, [], [], 0
         for at, byte in enumerate(piece, 1):
-            move = self.moves[state].get(byte) or self._move(state, byte)
+            move = self.moves.get(state << 8 | byte) or self._move(state, byte)
             state = move[0]
             lasts.append(move[1])
             if at - sent >= 4 * CHUNK_IDS:  # emit what all open tokens agree on
@@ -198,7 +203,7 @@ class Transducer:
 
     def _settled(self, lasts: list[int], at: int, sent: int, state: int) -> tuple[list[int], int]:
         """What precedes every open token alike: the common beginning of their pasts."""
-        pasts = [self._walk(lasts, at - sent - age) for _, _, age in self.states[state]]
+        pasts = [self._walk(lasts, at - sent - (one & (1 << _AGE) - 1)) for one in self.states[state]]
         shortest = min(len(tokens) for tokens, _ in pasts)
         same = 0
         while same < shortest and len({tokens[same] for tokens, _ in pasts}) == 1:
