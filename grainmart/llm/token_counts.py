@@ -167,14 +167,16 @@ def copying_edits(id_col: str = "doc_id", text_col: str = "text", every: int = 2
 
     Drawing them takes time in proportion to the text; a substring for each, in Spark, would read the text once an edit.
     """
-    n = F.length(F.coalesce(F.col(text_col), F.lit("")))
+    def script(n: Column) -> Column:
+        def drawn(k: Column, what: str, below: Column) -> Column:
+            return F.pmod(F.xxhash64(F.col(id_col), n, k, F.lit(what)), below.cast("long")).cast("int")
 
-    def drawn(k: Column, what: str, below: Column) -> Column:
-        return F.pmod(F.xxhash64(F.col(id_col), n, k, F.lit(what)), below.cast("long")).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.floor(n / every).cast("int")), lambda k: F.struct(
+            drawn(k, "start", n + 1).alias("start"), drawn(k, "delete", F.lit(12)).alias("delete"),
+            drawn(k, "from", n + 1).alias("from"), drawn(k, "length", F.lit(17)).alias("length")))
 
-    return F.transform(F.sequence(F.lit(0), F.floor(n / every).cast("int")), lambda k: F.struct(
-        drawn(k, "start", n + 1).alias("start"), drawn(k, "delete", F.lit(12)).alias("delete"),
-        drawn(k, "from", n + 1).alias("from"), drawn(k, "length", F.lit(17)).alias("length")))
+    # A text's length takes a pass over it, so it is counted once for all its edits.
+    return F.transform(F.array(F.length(F.coalesce(F.col(text_col), F.lit("")))), script)[0]
 
 
 def edited_counts(docs: DataFrame, edits: Column, ranks_path: str, pattern: str, id_col: str = "doc_id",
