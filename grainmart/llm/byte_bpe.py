@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from grainmart.llm.common import blocks, kept, utf8
 
 STATES = 1 << 17  # states kept before all are forgotten
-PIECES = 1 << 18  # pieces of up to PIECE_BYTES bytes whose ids are remembered
+PIECES = 1 << 16  # pieces of up to PIECE_BYTES bytes whose ids are remembered
 PIECE_BYTES = 64
 CHUNK_IDS = 4096
 NEVER = 1 << 60
 # An open token of a state in one number: the place in the trie, the token before it plus one, bytes so far.
+# A state is these numbers packed; the last of them is a token begun anew, so it tells the token before.
 _AGE, _OPEN = 16, 38
 
 
@@ -73,16 +74,18 @@ class Transducer:
         self.forget()
 
     def forget(self) -> None:
-        self.states: list[tuple] = []
-        self.numbers: dict[tuple, int] = {}
-        self.moves: dict[int, tuple[int, int]] = {}  # state << 8 | byte -> state, last token
-        self.start = self._number((0,))
+        self.states: list[bytes] = []
+        self.last = array("i")  # of a state: the token that ends where it was entered
+        self.numbers: dict[bytes, int] = {}
+        self.moves: dict[int, int] = {}  # state << 8 | byte -> state
+        self.start = self._number(array("q", [0]).tobytes())
 
-    def _number(self, state: tuple) -> int:
+    def _number(self, state: bytes) -> int:
         number = self.numbers.get(state)
         if number is None:
             number = self.numbers[state] = len(self.states)
             self.states.append(state)
+            self.last.append((array("q", state)[-1] >> _AGE) - 1)
         return number
 
     def merged(self, parts: list[int]) -> list[int]:
@@ -143,10 +146,10 @@ class Transducer:
             else:
                 j += 1
 
-    def _move(self, number: int, byte: int) -> tuple[int, int]:
-        """(next state, last token of the longer prefix)."""
-        opened, last = [], -1
-        for one in self.states[number]:
+    def _move(self, number: int, byte: int) -> int:
+        """The next state."""
+        opened, last = array("q"), -1
+        for one in array("q", self.states[number]):
             after = self.trie.get(one >> _OPEN << 8 | byte)
             if after is None:
                 continue
@@ -157,8 +160,8 @@ class Transducer:
             if last < 0 and token >= 0 and self._stands((rest >> _AGE) - 1, token):
                 last = token
         opened.append(last + 1 << _AGE)
-        move = self.moves[number << 8 | byte] = (self._number(tuple(opened)), last)
-        return move
+        after = self.moves[number << 8 | byte] = self._number(opened.tobytes())
+        return after
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -167,19 +170,23 @@ class Transducer:
         if len(self.states) > STATES:
             self.forget()
         if len(piece) <= 4 * CHUNK_IDS:
-            state, lasts, moves = self.start, [], self.moves
+            state, path, moves = self.start, [], self.moves
             for byte in piece:
-                state, last = moves.get(state << 8 | byte) or self._move(state, byte)
-                lasts.append(last)
-            return self._walk(lasts, len(piece))[0]
+                state = moves.get(state << 8 | byte) or self._move(state, byte)
+                path.append(state)
+            tokens, end, last, length = [], len(path), self.last, self.length
+            while end > 0:
+                token = last[path[end - 1]]
+                tokens.append(token)
+                end -= length[token]
+            return tokens[::-1]
         return self._encode_long(piece)
 
     def _encode_long(self, piece: bytes) -> list[int]:
         state, lasts, out, sent = self.start, [], [], 0
         for at, byte in enumerate(piece, 1):
-            move = self.moves.get(state << 8 | byte) or self._move(state, byte)
-            state = move[0]
-            lasts.append(move[1])
+            state = self.moves.get(state << 8 | byte) or self._move(state, byte)
+            lasts.append(self.last[state])
             if at - sent >= 4 * CHUNK_IDS:  # emit what all open tokens agree on
                 ready, until = self._settled(lasts, at, sent, state)
                 out += ready
@@ -203,7 +210,7 @@ class Transducer:
 
     def _settled(self, lasts: list[int], at: int, sent: int, state: int) -> tuple[list[int], int]:
         """What precedes every open token alike: the common beginning of their pasts."""
-        pasts = [self._walk(lasts, at - sent - (one & (1 << _AGE) - 1)) for one in self.states[state]]
+        pasts = [self._walk(lasts, at - sent - (one & (1 << _AGE) - 1)) for one in array("q", self.states[state])]
         shortest = min(len(tokens) for tokens, _ in pasts)
         same = 0
         while same < shortest and len({tokens[same] for tokens, _ in pasts}) == 1:
