@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from grainmart.config import scratch_dir
 SPACE_CLASS = r"[ \t-\r]"  # \x20 and \x09-\x0D, the white space of all contracts
 WORD_CLASS = r"[^ \t-\r]+"
 BLOCK_BYTES = 1 << 20  # of text worked on at once: numpy holds some fifty times that
+BLOCK_ROWS = 1024  # of an Arrow batch turned into Python objects at once
 FILE_ROWS = 100_000
 
 
@@ -68,6 +71,15 @@ def utf8(text: str = "text", field: str | None = None) -> Column:
 _KEPT: dict = {}
 
 
+def _let_go() -> None:
+    """Free what this worker kept, and return the freed memory of earlier stages to the machine."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def kept(key, make: Callable):
     """What make() gives, kept in this Python worker from task to task.
 
@@ -75,7 +87,7 @@ def kept(key, make: Callable):
     that reads its texts by blocks() under another key lets go of it first.
     """
     if key not in _KEPT:
-        _KEPT.clear()
+        _let_go()
         _KEPT[key] = make()
     return _KEPT[key]
 
@@ -87,18 +99,19 @@ def blocks(batches: Iterable, limit: int = BLOCK_BYTES, keep=None) -> Iterator[t
     What this worker kept for another stage is let go of, unless its key is keep.
     """
     if keep not in _KEPT:
-        _KEPT.clear()
-    for batch in batches:
-        *rest, texts = [column.to_pylist() for column in batch.columns]
-        keys = list(zip(*rest, strict=True))
-        start = held = 0
-        for i, text in enumerate(texts):
-            held += len(text)
-            if held >= limit:
-                yield keys[start:i + 1], texts[start:i + 1]
-                start, held = i + 1, 0
-        if start < len(texts):
-            yield keys[start:], texts[start:]
+        _let_go()
+    for whole in batches:
+        for begin in range(0, whole.num_rows, BLOCK_ROWS):
+            *rest, texts = [column.to_pylist() for column in whole.slice(begin, BLOCK_ROWS).columns]
+            keys = list(zip(*rest, strict=True))
+            start = held = 0
+            for i, text in enumerate(texts):
+                held += len(text)
+                if held >= limit:
+                    yield keys[start:i + 1], texts[start:i + 1]
+                    start, held = i + 1, 0
+            if start < len(texts):
+                yield keys[start:], texts[start:]
 
 
 def sorted_groups(batches, column: int, limit: int) -> Iterator[list[np.ndarray]]:
