@@ -7,7 +7,7 @@ map-side combine, so a key that holds most rows costs no more than another.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -129,6 +129,87 @@ def check_relationship(
     return counted.selectExpr(rows([_entry("relationship", column, "n", "k")]))
 
 
+@dataclass(frozen=True)
+class TableRules:
+    """What must hold for one table of several; ``key`` samples the rows that break a row rule."""
+
+    key: str
+    rows: tuple[RowRule, ...] = ()
+    unique: str | None = None
+    parents: tuple[tuple[str, str, str], ...] = ()  # (column, parent table, its key)
+
+
+def check_tables(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
+    """Every rule of every given table with its failures and smallest offending key, in one grouping.
+
+    Each table is read once: a row gives a fact for each rule that it breaks, for its unique key, for each
+    parent it needs and each child it may serve. Facts merge by (rule, key) before the shuffle, so a hot key
+    sends one row per task; facts of row rules have no key there. An empty table breaks nothing, null keys
+    are neither duplicates nor orphans, and a relationship to a table that is not given is not checked.
+    Keys are whole numbers; those of other types are compared as text.
+    """
+    checks: list[tuple[str, str, str]] = []  # (table, rule, column)
+    alike: dict[str, list[int]] = {"unique": [], "relationship": []}
+    facts: dict[str, list[tuple[str, int, str, str, int]]] = {}  # table -> (condition, check, key, sample, as parent)
+
+    def add(table: str, rule: str, column: str) -> int:
+        checks.append((table, rule, column))
+        if rule in alike:
+            alike[rule].append(len(checks) - 1)
+        return len(checks) - 1
+
+    for table, wanted in rules.items():
+        if table not in tables:
+            continue
+        own = facts.setdefault(table, [])
+        for rule in wanted.rows:
+            own.append((rule.broken, add(table, rule.rule, rule.column), "NULL", ident(wanted.key), 0))
+        if wanted.unique:
+            key = ident(wanted.unique)
+            own.append((f"{key} IS NOT NULL", add(table, "unique", wanted.unique), key, key, 0))
+        for column, parent, parent_key in wanted.parents:
+            if parent not in tables:
+                continue
+            key, known, check = ident(column), ident(parent_key), add(table, "relationship", column)
+            own.append((f"{key} IS NOT NULL", check, key, key, 0))
+            facts.setdefault(parent, []).append((f"{known} IS NOT NULL", check, known, "NULL", 1))
+    if not checks:
+        raise ValueError("no rule for any of the tables")
+
+    named = {(t, c) for t, w in rules.items() if t in tables
+             for c in (w.key, w.unique, *(column for column, *_ in w.parents)) if c}
+    named |= {(p, k) for t, w in rules.items() if t in tables for _, p, k in w.parents if p in tables}
+    whole = all(isinstance(tables[t].schema[c].dataType, T.IntegralType) for t, c in named)
+    kind = "BIGINT" if whole else "STRING"
+
+    def emitted(table: str) -> DataFrame:
+        found = ", ".join(
+            f"CASE WHEN {condition} THEN " + struct({
+                "check": str(check), "key": f"CAST({key} AS {kind})", "n": f"{1 - parent}L", "parents": f"{parent}L",
+                "sample": f"CAST({sample} AS {kind})"}) + " END"
+            for condition, check, key, sample, parent in facts[table])
+        return tables[table].selectExpr(f"inline(array_compact(array({found})))")
+
+    spark = next(iter(tables.values())).sparkSession
+    # A fact without weight, so that a rule that nothing breaks is reported too.
+    still = spark.range(len(checks)).selectExpr(
+        "CAST(id AS INT) AS check", f"CAST(NULL AS {kind}) AS key", "0L AS n", "0L AS parents", f"CAST(NULL AS {kind}) AS sample")
+    merged = union_all([*(emitted(t) for t in facts if facts[t]), still]).groupBy("check", "key").agg(
+        F.sum("n").alias("n"), F.max("parents").alias("parents"), F.min("sample").alias("sample"))
+    unique, orphan = (F.col("check").isin(*alike[r]) if alike[r] else F.lit(False) for r in ("unique", "relationship"))
+    failures = (F.when(unique, (F.col("n") > 1).cast("long"))
+                .when(orphan, F.when(F.col("parents") == 0, F.col("n")).otherwise(0)).otherwise(F.col("n")))
+    counted = merged.withColumn("failures", failures).groupBy("check").agg(
+        F.sum("failures").alias("failures"),
+        F.min(F.when(F.col("failures") > 0, F.col("sample"))).cast("string").alias("first"),
+        F.min(F.when(F.col("failures") > 0, F.col("sample").cast("string"))).alias("least"))
+    labels = ", ".join(struct({"rule": literal(rule), "column": literal(column), "table": literal(table)})
+                       for table, rule, column in checks)
+    return counted.withColumn("label", F.expr(f"array({labels})[check]")).select(
+        "label.rule", "label.column", "failures", F.when(unique, F.col("least")).otherwise(F.col("first")).alias("sample"),
+        "label.table")
+
+
 def check_not_empty(df: DataFrame) -> DataFrame:
     counted = df.selectExpr("count(1) AS n")
     return counted.selectExpr(rows([_entry("not_empty", "*", "n = 0", "NULL")]))

@@ -5,17 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from grainmart.functions.measures import (
     average, count_where, distinct_count, maximum, minimum, rate_where, ratio_of_totals, row_count,
     total,
 )
 from grainmart.operators.quality import (
-    Contract, RowRule, accepted_values, check_relationship, check_rows, check_unique,
-    label_matches_split, not_null,
+    Contract, RowRule, TableRules, accepted_values, check_tables, label_matches_split, not_null,
 )
-from grainmart.operators.rollup import Rollup, enrich, feature_mart, union_all
+from grainmart.operators.rollup import Rollup, enrich, feature_mart
 
 KEY = "sk_id_curr"
 MART = "mart_applicant_features"
@@ -185,18 +183,12 @@ def _row_rules(table: str) -> list[RowRule]:
     return rules
 
 
+def declared_rules(table: str) -> TableRules:
+    rows = tuple(_row_rules(table))
+    parents = tuple((key, parent, key) for child, key, parent in RELATIONSHIPS if child == table)
+    return TableRules(rows[0].column, rows, UNIQUE_KEYS.get(table), parents)
+
+
 def declared_rules_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every declared rule of every given table, with its failures."""
-    parts = []
-    for name, df in tables.items():
-        reports = []
-        if rules := _row_rules(name):
-            reports.append(check_rows(df, rules, rules[0].column))
-        if name in UNIQUE_KEYS:
-            reports.append(check_unique(df, [UNIQUE_KEYS[name]]))
-        reports += [
-            check_relationship(df, key, tables[parent], key)
-            for child, key, parent in RELATIONSHIPS if child == name and parent in tables
-        ]
-        parts += [r.withColumn("table", F.lit(name)) for r in reports]
-    return union_all(parts)
+    """Every declared rule of every given table, with its failures: each table is read once."""
+    return check_tables(tables, {name: declared_rules(name) for name in tables if _row_rules(name)})

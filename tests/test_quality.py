@@ -68,3 +68,56 @@ def test_null_child_keys_pass_and_empty_tables_fail(spark):
     assert failures(q.check_relationship(child, "k", parent, "k")) == {}
     assert q.check_not_empty(child.filter("k > 9")).first()["failures"] == 1
     assert [tuple(r) for r in q.null_counts(child, ["k"]).collect()] == [("k", 2, 1)]
+
+
+def _family(spark):
+    parents = spark.createDataFrame([(1, 5), (2, 5), (2, 6), (None, 7)], "p long, v int")
+    children = spark.createDataFrame(
+        [(10, 1, "a"), (9, 1, "a"), (9, 3, "b"), (7, 3, None), (None, None, "b"), (None, 8, "a")], "c int, p long, s string")
+    rules = {
+        "parents": q.TableRules("p", (q.not_null("p"), q.at_least("v", 6)), "p"),
+        "children": q.TableRules("c", (q.not_null("s"), q.accepted_values("s", ["a"])), "c", (("p", "parents", "p"),))}
+    return {"parents": parents, "children": children}, rules
+
+
+def test_one_grouping_gives_what_the_checks_of_each_table_give(spark):
+    tables, rules = _family(spark)
+    expected = set()
+    for name, wanted in rules.items():
+        df = tables[name]
+        reports = [q.check_rows(df, wanted.rows, wanted.key), q.check_unique(df, [wanted.unique])]
+        reports += [q.check_relationship(df, c, tables[p], k) for c, p, k in wanted.parents]
+        expected |= {(*map(str, r), name) for report in reports for r in report.collect()}
+    got = q.check_tables(tables, rules)
+    assert got.columns == ["rule", "column", "failures", "sample", "table"]
+    assert {tuple(map(str, r)) for r in got.collect()} == expected
+    assert ("relationship", "p", "3", "3", "children") in expected
+
+
+def test_one_grouping_reads_each_table_once(spark, tmp_path):
+    tables, rules = _family(spark)
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    stored = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in tables}
+    plan = q.check_tables(stored, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "Join" not in plan
+
+
+def test_one_grouping_of_empty_tables_text_keys_and_absent_parents(spark):
+    tables, rules = _family(spark)
+    empty = {name: df.filter("false") for name, df in tables.items()}
+    report = q.check_tables(empty, rules)
+    assert report.count() == 7 and failures(report) == {}
+    q.gate(report)
+    texts = {name: df.withColumn("p", q.F.col("p").cast("string")) for name, df in tables.items()}
+    assert failures(q.check_tables(texts, rules)) == failures(q.check_tables(tables, rules))
+    alone = q.check_tables({"children": tables["children"]}, rules)
+    assert {r["rule"] for r in alone.collect()} == {"not_null", "accepted_values", "unique"}
+
+
+def test_one_grouping_survives_a_hot_key_that_breaks_rules(spark):
+    df = spark.range(20000).selectExpr("CASE WHEN id % 3 = 0 THEN 4 ELSE id END AS k", "-id AS n")
+    rules = {"t": q.TableRules("k", (q.at_least("n", 0),), "k", (("k", "u", "k"),))}
+    report = q.check_tables({"t": df, "u": spark.range(4, 30000).toDF("k")}, rules)
+    assert failures(report) == {("at_least", "n"): 19999, ("unique", "k"): 1, ("relationship", "k"): 2}
+    assert {r["sample"] for r in report.collect()} == {"1", "4"}
