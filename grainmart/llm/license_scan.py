@@ -100,20 +100,25 @@ def _window_minima(values: np.ndarray, length: int, stride: int) -> np.ndarray:
     that a length does not fill are rounded up, which only widens the window.
     """
     n_blocks = -(-len(values) // stride)
-    padded = np.full(n_blocks * stride, np.uint64(2**64 - 1))
-    padded[:len(values)] = values
-    least = padded.reshape(n_blocks, stride).min(axis=1) if stride > 1 else padded
+    run = values
+    if stride > 1:
+        padded = np.full(n_blocks * stride, np.uint64(2**64 - 1))
+        padded[:len(values)] = values
+        run = padded.reshape(n_blocks, stride).min(axis=1)
     span = -(-length // stride)
-    out = np.full(n_blocks, np.uint64(2**64 - 1))
-    done, step, run = 0, 1, least
-    while done < span:  # doubling: minima of 1, 2, 4 ... blocks
+    out, done, step = None, 0, 1
+    while True:  # doubling: minima of 1, 2, 4 ... blocks
         if span & step:
-            out[:n_blocks - done] = np.minimum(out[:n_blocks - done], run[done:])
+            if out is None:
+                out = run
+            elif done < n_blocks:
+                out = np.concatenate([np.minimum(out[:n_blocks - done], run[done:]), out[n_blocks - done:]])
             done += step
-        longer = run.copy()
-        longer[:max(0, n_blocks - step)] = np.minimum(run[:max(0, n_blocks - step)], run[step:])
-        run, step = longer, step * 2
-    return out
+        if done == span:
+            return out
+        if step < n_blocks:
+            run = np.concatenate([np.minimum(run[:-step], run[step:]), run[-step:]])
+        step *= 2
 
 
 def _found(templates: Templates, shingles: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:

@@ -340,3 +340,19 @@ def test_expectation_maximisation_recovers_accuracies(spark):
     assert abs(share - .7) < .03
     for name, a in zip(names, (.95, .9, .85, .9, .8), strict=True):
         assert abs(rates[name][1][1] / (rates[name][1][1] + rates[name][1][-1]) - a) < .04
+
+
+def test_window_minima_by_definition_also_for_blocks_shorter_than_a_window():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 5, 17, 300):
+        values = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for length in (1, 2, 3, 7, 8, 40, 63, 500):
+            for stride in {1, max(1, length // 8)}:
+                span = -(-length // stride) * stride
+                want = [values[i:i + span].min() for i in range(0, n, stride)]
+                assert (S._window_minima(values, length, stride) == want).all()
+
+
+def test_short_texts_alone_are_scanned(spark):
+    rows = [(1, "one two three four five six", "s", "en"), (2, None, "s", "en")]
+    assert {tuple(r["licenses"]) for r in S.license_scan(frame(spark, rows)).collect()} == {()}
