@@ -101,17 +101,18 @@ def blocks(batches: Iterable, limit: int = BLOCK_BYTES, keep=None) -> Iterator[t
     if keep not in _KEPT:
         _let_go()
     for whole in batches:
+        keys, texts, held = [], [], 0
         for begin in range(0, whole.num_rows, BLOCK_ROWS):
-            *rest, texts = [column.to_pylist() for column in whole.slice(begin, BLOCK_ROWS).columns]
-            keys = list(zip(*rest, strict=True))
-            start = held = 0
-            for i, text in enumerate(texts):
+            *rest, more = [column.to_pylist() for column in whole.slice(begin, BLOCK_ROWS).columns]
+            fresh, start = list(zip(*rest, strict=True)), 0
+            for i, text in enumerate(more):
                 held += len(text)
                 if held >= limit:
-                    yield keys[start:i + 1], texts[start:i + 1]
-                    start, held = i + 1, 0
-            if start < len(texts):
-                yield keys[start:], texts[start:]
+                    yield keys + fresh[start:i + 1], texts + more[start:i + 1]
+                    keys, texts, start, held = [], [], i + 1, 0
+            keys, texts = keys + fresh[start:], texts + more[start:]
+        if texts:
+            yield keys, texts
 
 
 def sorted_groups(batches, column: int, limit: int) -> Iterator[list[np.ndarray]]:
