@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from grainmart.config import Settings
-from grainmart.operators import isotonic
+from grainmart.operators import isotonic, train
 from grainmart.plans import jobs
 from grainmart.sources.warehouse import read_runs, record_run
 
@@ -37,3 +37,7 @@ def test_workers_without_the_package_can_pool_scores(tmp_path):
     (tmp_path / "f").write_bytes(cloudpickle.dumps(isotonic._pooled))
     assert pickle.loads((tmp_path / "f").read_bytes())
     subprocess.run([sys.executable, "-c", "import pickle; pickle.load(open('f', 'rb'))"], cwd=tmp_path, check=True, timeout=60)
+
+
+def test_a_large_fit_has_no_more_small_tasks_than_cores():
+    assert [train.tasks_of_fit(n, 12) for n in (1, 20_000, 20_001, 240_000, 960_000, 6_000_000)] == [1, 1, 2, 12, 12, 60]
