@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmart.llm.common import written
+from grainmart.llm.common import dropped, written
 
 
 def connected_components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
@@ -28,7 +28,9 @@ def connected_components(edges: DataFrame, name: str = "components", rounds: int
         small_least = written(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-least", n)
         small = large.join(small_least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .unionByName(small_least.select("a", F.col("m").alias("b")))
-        now = written(small.where("a > b").distinct(), f"{name}-{turn}", n)
+        before, now = now, written(small.where("a > b").distinct(), f"{name}-{turn}", n)
+        for done in (before, least, large, small_least):
+            dropped(done)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == last:
             break

@@ -1,10 +1,11 @@
 """N-gram Jaccard self-join with signature trees.
 
-Documents with the same shingle set are one set from the start. Two sets of Jaccard similarity of
-0.8 or more share one of the fifth (and one) of their shingles that comes first in any common order, so sets
-that share such a shingle, in sizes that allow the similarity, are chained to a candidate group;
-the order puts frequent shingles last. Within a group, sets are cut by size and hash into blocks of
-bounded size. Each pair of blocks is one unit of work: a signature tree per block, whose nodes hold
+Documents with the same shingle set are one set from the start. Sets are cut into parts by the first
+bits of their shingles, some two shingles a part. Two sets of Jaccard similarity of 0.8 or more differ in
+few shingles, hence in few parts: they have one of their first parts in any common order whole in common
+(see ``_keys``), and sets that do are chained to a candidate group. The order puts parts of frequent
+shingles and single shingles last, so that texts which merely share a phrase seldom meet, however many
+there are. Within a group, sets are cut by size and hash into blocks of bounded size. Each pair of blocks is one unit of work: a signature tree per block, whose nodes hold
 OR-combined bitmaps and size ranges, and a dual traversal that drops node pairs whose largest
 possible overlap is too small, then tests the rest exactly.
 """
@@ -22,13 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainmart.llm.common import Words, blocks, packed, sorted_groups, utf8, written
+from grainmart.llm.common import Words, blocks, mix, packed, utf8, written
 from grainmart.llm.components import connected_components
 
 SHINGLE = 5
-# Similarity of 0.8: 5 * intersection >= 4 * union. The prefix of n // 5 + 1 follows from it.
-SKETCH_BITS = 22  # counters of the frequency sketch that orders shingles; only speed depends on it
+# Similarity of 0.8: 5 * intersection >= 4 * union. The prefixes in _keys follow from it.
+SKETCH_BITS = 22  # counters of the frequency sketch that orders parts; only speed depends on it
 SKETCH_SLICES = 64
+HOT = 4  # times the middle of the counters: beyond, a part is of frequent shingles only
+KEY_BITS = 12  # first bits of a key: its slice
+ENTRY = np.dtype([("low", "<u4"), ("high", "u1"), ("rep", "<i8")])  # 40 more bits of a key, and a set
 FILTER_BITS = 24
 BLOCK_SETS = 256
 LEAF_SETS = 8
@@ -83,25 +87,45 @@ def _added(batches) -> Iterator[pa.RecordBatch]:
             names=["slice", "counts"])
 
 
-def _chains(key, rep, low, high) -> tuple[np.ndarray, ...]:
-    """Merge rows that share a key and whose size ranges touch within the similarity.
+def _level(n: int) -> int:
+    """Sets of n shingles are cut into 2 ** level parts: 1.25 to 2.5 shingles each."""
+    return max(0, (4 * n // 5).bit_length() - 1)
 
-    Returns the merged (key, rep, low, high), and edges from each row's rep to its merged one's.
+
+def _ranks(tokens, frequency, single, hot: int) -> np.ndarray:
+    """A common order: parts of frequent shingles last, single shingles before them, then by frequency and hash."""
+    return (frequency > hot).astype(np.uint64) << np.uint64(63) | np.uint64(1 << 62) * single \
+        | frequency.astype(np.uint64) << np.uint64(46) | tokens >> np.uint64(18)
+
+
+def _first(tokens: np.ndarray, ranks: np.ndarray, n: int) -> np.ndarray:
+    return tokens if len(tokens) <= n else tokens[ranks <= np.partition(ranks, n - 1)[n - 1]]
+
+
+def _keys(shingles: np.ndarray, frequency: np.ndarray, hot: int) -> np.ndarray:
+    """Keys of a set of sorted shingles: sets of similarity 0.8 or more, of whatever sizes, have one in common.
+
+    Sets of n and m shingles that are alike differ in (n + m) / 9 shingles at most, which is no more than
+    `differ` below for either set, as neither is beyond 5/4 of the other. A differing shingle spoils one
+    part, so either set has at most `differ` parts that the other lacks. Unless all parts are spoilt, the
+    first common one is among the first differ + 1 of both. All can be spoilt only if the sets' parts
+    together are no more than `differ`; then both see so, and their first fifth (and one) of single shingles meet.
+    A set that may have alike ones on the next level has keys there too.
     """
-    order = np.lexsort((low, key))
-    key, rep, low, high = key[order], rep[order], low[order], high[order]
-    if not len(key):
-        return key, rep, low, high, rep, rep
-    new_key = np.concatenate([[True], key[1:] != key[:-1]])
-    # The running maximum of high within a key: sizes are far below the step between keys.
-    step = np.cumsum(new_key).astype(np.int64) << np.int64(36)
-    reach = np.maximum.accumulate(high + step) - step
-    fresh = new_key.copy()
-    fresh[1:] |= 5 * reach[:-1] < 4 * low[1:]
-    first = np.flatnonzero(fresh)
-    group = np.cumsum(fresh) - 1
-    lead = np.minimum.reduceat(rep, first)
-    return (key[first], lead, low[first], np.maximum.reduceat(high, first), rep, lead[group])
+    n = len(shingles)
+    differ = (n + 5 * n // 4) // 9
+    seen = frequency[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    out, short = [], False
+    for level in range(_level(n), _level(5 * n // 4) + 1):
+        part = shingles >> np.uint64(64 - level) if level else np.zeros(n, np.uint64)
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        tokens = mix(np.add.reduceat(shingles, starts) + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
+        single = np.diff(starts, append=n) == 1
+        out.append(_first(tokens, _ranks(tokens, np.minimum.reduceat(seen, starts), single, hot), differ + 1))
+        short |= len(tokens) <= differ
+    if short:
+        out.append(_first(mix(shingles), _ranks(mix(shingles), seen, np.zeros(n, bool), hot), n // 5 + 1))
+    return np.concatenate(out)
 
 
 def _edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,49 +133,62 @@ def _edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-_CHAIN = ["key", "rep", "low", "high"]
-
-
-def _chain_rows(key, rep, low, high, a, b) -> Iterator[pa.RecordBatch]:
-    """Rows of chains, then rows of edges (high -1: rep and low are the edge)."""
-    for i in range(0, len(key), 1 << 16):
-        cut = slice(i, i + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(c[cut]) for c in (key, rep, low, high)], names=_CHAIN)
-    a, b = _edges(a, b)
-    if len(a):
+def _chains(key, rep) -> tuple[np.ndarray, ...]:
+    """(key, lead) of each distinct key, and edges from its rows' reps to their lead, the smallest."""
+    if not len(key):
+        return key, rep, rep, rep
+    order = np.lexsort((rep, key))
+    key, rep = key[order], rep[order]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    lead = rep[first]
+    return key[first], lead, *_edges(rep, lead[np.cumsum(first) - 1])
+
+
+def _slices(place: np.ndarray, values: np.ndarray) -> dict[int, bytes]:
+    """The bytes of values by their place; places are sorted."""
+    cuts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
+    return {int(place[i]): values[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)}
+
+
+def _chain_rows(key, rep, a, b) -> Iterator[pa.RecordBatch]:
+    """A row per slice of keys: its entries and, by their first set, edges, packed."""
+    rest = key << np.uint64(KEY_BITS) >> np.uint64(24)
+    entries = np.empty(len(key), ENTRY)
+    entries["low"], entries["high"], entries["rep"] = rest & np.uint64(0xFFFFFFFF), rest >> np.uint64(32), rep
+    packs = _slices((key >> np.uint64(64 - KEY_BITS)).astype(np.int64), entries)
+    place = a & ((1 << KEY_BITS) - 1)
+    order = np.argsort(place, kind="stable")
+    links = _slices(place[order], np.stack([a, b], axis=1)[order]) if len(a) else {}
+    names = sorted({*packs, *links})
+    for i in range(0, len(names), 256):
+        some = names[i:i + 256]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(a), pa.array(a), pa.array(b), pa.array(np.full(len(a), -1, np.int64))], names=_CHAIN)
+            [pa.array(some, pa.int32()), pa.array([packs.get(k) for k in some], pa.binary()),
+             pa.array([links.get(k) for k in some], pa.binary())], names=["slice", "entries", "edges"])
 
 
 def _prefixes(sketch):
     def run(batches) -> Iterator[pa.RecordBatch]:
         frequency = np.frombuffer(sketch.value, np.uint16)
+        hot = HOT * int(np.median(frequency)) + 16
         held, rows, known = [], 0, set()
 
         def passed():
             nonlocal held, rows
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            keys, names = [k for k, _ in held], [name for _, name in held]
             held, rows = [], 0
-            yield from _chain_rows(*_chains(*columns))
+            yield from _chain_rows(*_chains(np.concatenate(keys), np.repeat(np.array(names, np.int64), [len(k) for k in keys])))
 
         for _, texts in blocks(batches):
             for shingles in _sets(texts):
-                n = len(shingles)
                 name = _set_key(shingles)
-                if not n or name in known:
+                if not len(shingles) or name in known:
                     continue
                 if len(known) > HELD // 4:
                     known.clear()
                 known.add(name)
-                slot = (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                # Frequent ones last, ties by a scramble of the hash: 16 and 48 bits of one number.
-                rank = (frequency[slot].astype(np.uint64) << np.uint64(48)) | (
-                    (shingles * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(16))
-                last = np.partition(rank, n // 5)[n // 5]
-                prefix = shingles[rank <= last].view(np.int64)
-                same = np.full(len(prefix), n, np.int64)
-                held.append((prefix, np.full(len(prefix), name, np.int64), same, same))
-                rows += len(prefix)
+                held.append((_keys(shingles, frequency, hot), name))
+                rows += len(held[-1][0])
             if rows > HELD:
                 yield from passed()
         if rows:
@@ -161,12 +198,25 @@ def _prefixes(sketch):
 
 
 def _chained(batches) -> Iterator[pa.RecordBatch]:
-    """Edges between the chains of a partition's keys; the partition is sorted by key."""
-    for key, rep, low, high in sorted_groups(batches, 0, HELD):
-        edge = high < 0
-        *_, a, b = _chains(key[~edge], rep[~edge], low[~edge], high[~edge])
-        a, b = _edges(np.concatenate([a, rep[edge]]), np.concatenate([b, low[edge]]))
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    """Edges between the chains of a partition's keys; the partition is sorted by slice."""
+    place, entries, edges = None, [], []
+
+    def done():
+        rows, known = np.frombuffer(b"".join(entries), ENTRY), np.frombuffer(b"".join(edges), np.int64).reshape(-1, 2)
+        *_, a, b = _chains(rows["low"] | rows["high"].astype(np.uint64) << np.uint64(32), rows["rep"])
+        a, b = _edges(np.concatenate([a, known[:, 0]]), np.concatenate([b, known[:, 1]]))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    for batch in batches:
+        for at, entry, edge in zip(*batch.columns, strict=True):
+            if at.as_py() != place and place is not None:
+                yield done()
+                entries, edges = [], []
+            place = at.as_py()
+            entries.append(entry.as_py() or b"")
+            edges.append(edge.as_py() or b"")
+    if place is not None:
+        yield done()
 
 
 def _wanted_sets(wanted):
@@ -330,6 +380,14 @@ def _broadcast_bytes(df: DataFrame, order: str, column: str, slices: int, width:
     return df.sparkSession.sparkContext.broadcast(bytes(out))
 
 
+def _filter_of(df: DataFrame, column: str):
+    """A broadcast bitmap of 2 ** FILTER_BITS bits at any input that has all hashes of the column; some others seem to be there."""
+    slot = F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    member = df.groupBy(F.shiftright(slot, 15).cast("int").alias("slice")).agg(
+        F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    return _broadcast_bytes(member, "slice", "bits", 1 << FILTER_BITS - 15, 1 << 12)
+
+
 def _all_linked(batches) -> Iterator[pa.RecordBatch]:
     return _linked(batches, every=True)
 
@@ -392,14 +450,11 @@ def _units(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int,
     order = _broadcast_bytes(sketch, "slice", "counts", SKETCH_SLICES, 2 << SKETCH_BITS >> int(math.log2(SKETCH_SLICES)))
 
     # Each of the next two reads the texts again: shingles are cheaper to make than to store.
-    edges = texts.mapInArrow(_prefixes(order), "key bigint, rep bigint, low bigint, high bigint") \
-        .repartition("key").sortWithinPartitions("key").mapInArrow(_chained, "a bigint, b bigint")
+    edges = texts.mapInArrow(_prefixes(order), "slice int, entries binary, edges binary") \
+        .repartition("slice").sortWithinPartitions("slice").mapInArrow(_chained, "a bigint, b bigint")
     groups = written(connected_components(edges, "ngram-candidates"), "ngram-groups", n)
 
-    slot = F.col("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    member = groups.groupBy(F.shiftright(slot, 15).cast("int").alias("slice")).agg(
-        F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
-    wanted = _broadcast_bytes(member, "slice", "bits", 1 << FILTER_BITS - 15, 1 << 12)
+    wanted = _filter_of(groups, "node")
     sets = texts.mapInArrow(_wanted_sets(wanted), "set_key bigint, size bigint, shingles binary") \
         .groupBy("set_key").agg(F.first("shingles").alias("shingles"))
 
