@@ -504,6 +504,18 @@ def set_keys(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([_set_key(s) for _, block in blocks([batch]) for s in _sets(block)], pa.int64())
 
 
+def _among(bits):
+    """Whether a set_key seems to be in a bitmap of _filter_of."""
+    def run(keys: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        member = np.frombuffer(bits.value, np.uint8)
+        for part in keys:
+            slot = part.to_numpy(zero_copy_only=False) & ((1 << FILTER_BITS) - 1)
+            yield pa.array((member[slot >> 3] >> (slot & 7) & 1).astype(bool))
+
+    # Otherwise Spark would push the filter below the hashes and make them twice.
+    return F.arrow_udf(run, T.BooleanType()).asNondeterministic()
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, one id of each group: the smallest. Rows without shingles all stay.
 
@@ -511,8 +523,14 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups do; a null id stays only if its whole group has none. Null and empty texts have no shingles. Columns may
     have any names. An empty table gives an empty result.
     """
-    groups = ngram_groups(docs, id_col, text_col)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+    # A row's set decides with its id, so sets that lose no row need not meet the decisions: their texts are not shuffled.
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    groups = written(ngram_groups(docs, id_col, text_col).select("doc_id", "set_key", stays.alias("stays")), "ngram-stays")
+    losing = _filter_of(groups.where("NOT stays"), "set_key")
+    kept = groups.where("stays").where(_among(losing)("set_key")) \
         .select(F.col("doc_id").alias("id"), F.col("set_key").alias("of")).distinct()
-    rows = packed(docs).withColumns({"set_key": set_keys(utf8("doc", text_col)), "doc_id": F.col("doc")[id_col].cast("bigint")})
-    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("set_key") == F.col("of")), "left_semi").select("doc.*")
+    rows = packed(docs).withColumns({"set_key": set_keys(utf8("doc", text_col)), "doc_id": F.col("doc")[id_col].cast("bigint")}) \
+        .withColumn("asked", _among(losing)("set_key"))
+    asked = rows.where("asked").join(
+        kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("set_key") == F.col("of")), "left_semi")
+    return rows.where("NOT asked").select("doc.*").union(asked.select("doc.*"))

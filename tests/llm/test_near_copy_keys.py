@@ -38,3 +38,11 @@ def test_texts_that_share_phrases_only_are_not_chained_even_where_all_counters_a
     met = {frozenset(p) for p in zip(*links.to_pydict().values(), strict=True)}
     first, *_, last = (N._set_key(s) for s in N._sets(texts))
     assert frozenset((first, last)) in met and len(met) < 20
+
+
+def test_texts_of_undisputed_sets_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, f"{'a b c d e f' if i < 3 else f't{i} of its own'}") for i in range(9)], "doc_id bigint, text string")
+    out = N.drop_near_copies(docs)
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 3, 4, 5, 6, 7, 8]
+    undisputed, disputed = (p.toString() for p in (out._jdf.queryExecution().optimizedPlan().children().apply(i) for i in range(2)))
+    assert "Join" not in undisputed and "LeftSemi" in disputed
