@@ -1,13 +1,17 @@
 """Rounds grown in one task are those that Spark ML grows, and the registered queries train with the jobs' own settings."""
 
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 
 from grainmart.config import MAX_ROUNDS, PATIENCE_ROUNDS
-from grainmart.operators import boosting, train
+from grainmart.operators import boosting, one_task, train
 from workload import models
 
 
@@ -57,6 +61,21 @@ def test_patience_ends_a_fit_in_one_task_and_no_judging_rows_let_it_go_on(spark)
     assert boosting.boost_in_one_task(gbt.setMaxIter(3), rows.filter("NOT judging"), "judging", 1).getNumTrees == 3
 
 
+def test_workers_without_the_package_can_grow_trees(tmp_path):
+    growth = one_task.Growth(2, 2, 0.3, 32, 1, 0.0, 1.0, 1.0, 1, {})
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(one_task.growing_task(growth, 5)))
+    code = ("import pickle, pyarrow as pa; rows = pa.RecordBatch.from_arrays([pa.array([[float(i)] for i in range(9)]), "
+            "pa.array([float(i > 3) for i in range(9)]), pa.array([1.0] * 9), pa.array([False] * 9)], names=list('xywj')); "
+            "assert len(list(pickle.load(open('f', 'rb'))([rows]))) == 2")
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
+
+
+def test_rows_without_a_label_are_refused(spark):
+    rows = _rows(spark, 50).selectExpr("features", "nullif(label, 1D) AS label", "weight", "judging")
+    with pytest.raises(Exception, match="must have a label"):
+        boosting.boost_in_one_task(GBTClassifier(weightCol="weight", maxIter=2, seed=1), rows, "judging", 2)
+
+
 def test_every_fit_has_local_properties_of_its_own(spark, monkeypatch):
     seen = []
     wrap = train.inheritable_thread_target
